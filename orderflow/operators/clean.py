@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
@@ -60,25 +60,18 @@ def drop_incomplete(orders: DataFrame) -> DataFrame:
 def one_per_line(orders: DataFrame) -> DataFrame:
     """One row per (order, product); null keys count as equal.
 
-    Complete rows win, then the latest ``processed_at``, then the other columns in
-    ascending order, so the survivor does not depend on partitioning. Spark keeps one row
-    per key and task before the shuffle (WindowGroupLimit): a key with very many copies
-    never meets in one task.
+    Complete rows win, then the latest ``processed_at``, then the greatest values of the
+    other columns, so the survivor does not depend on partitioning. The maximum of a
+    struct is found with a map-side combine: a line with very many copies sends one row
+    per task and never meets in one place.
     """
-    last_seen = [F.col("processed_at").desc_nulls_last()] if "processed_at" in orders.columns else []
-    rest = [
-        F.col(name).asc_nulls_last()
-        for name in orders.columns
-        if name not in (*S.LINE_KEY, "processed_at")
-    ]
-    best_first = Window.partitionBy(*S.LINE_KEY).orderBy(
-        F.when(_complete(), 0).otherwise(1), *last_seen, *rest
-    )
+    rest = [name for name in orders.columns if name not in S.LINE_KEY]
+    rank = ["processed_at"] if "processed_at" in rest else []
+    ranked = rank + [name for name in rest if name not in rank]
+    best = F.max(F.struct(_complete().alias("_complete"), *ranked))
     return (
-        orders.withColumn("_rank", F.row_number().over(best_first))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
+        orders.groupBy(*S.LINE_KEY).agg(best.alias("_best")).select(*S.LINE_KEY, "_best.*")
+    ).select(orders.columns)
 
 
 def any_per_line(orders: DataFrame) -> DataFrame:

@@ -9,15 +9,18 @@ from pyspark.sql import types as T
 from orderflow import schemas as S
 from orderflow.functions.casts import to_double, to_int
 from orderflow.functions.labels import run_moment, utc_text, value_tier
-from orderflow.functions.order_json import amount_of, reject_reason, single_order
+from orderflow.functions.order_json import (
+    amount_is_number,
+    amount_of,
+    reject_reason,
+    single_order,
+)
 
 VALID = "valid"
 DEAD_LETTER = "dead_letter"
 
 
 def _field(order: Column, name: str) -> Column:
-    if name == "amount":
-        return amount_of(order)
     if name == "quantity":
         return to_int(order[name], T.StringType())
     if name in ("unit_price", "freight_value"):
@@ -34,11 +37,16 @@ def check(lines: DataFrame) -> DataFrame:
     # A generator's output is computed once, however many filters and columns use it.
     parsed = lines.select("*", F.explode_outer(single_order(F.col("value"))).alias("parsed"))
     order = F.col("parsed")
-    fields = F.struct(*[_field(order, name).alias(name) for name in S.MESSAGE.names])
-    return parsed.select(
-        *lines.columns,
-        fields.alias("order"),
-        reject_reason(F.col("value"), order).alias("reject_reason"),
+    measured = parsed.withColumns(
+        {"amount": amount_of(order), "amount_is_number": amount_is_number(order)}
+    )
+    fields = [
+        (F.col("amount") if name == "amount" else _field(order, name)).alias(name)
+        for name in S.MESSAGE.names
+    ]
+    reason = reject_reason(F.col("value"), order, F.col("amount"), F.col("amount_is_number"))
+    return measured.select(
+        *lines.columns, F.struct(*fields).alias("order"), reason.alias("reject_reason")
     )
 
 
