@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +33,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="orderflow-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def counters_kept(spark: SparkSession):
+    """Keep observed counts of jobs that turn out to write nothing.
+
+    Adaptive execution replaces a plan by an empty one once a stage has no rows, and the
+    counters in the plan go with it.
+    """
+    key = "spark.sql.adaptive.optimizer.excludedRules"
+    before = spark.conf.get(key, "")
+    rule = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    spark.conf.set(key, f"{before},{rule}" if before else rule)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
