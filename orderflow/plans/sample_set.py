@@ -8,7 +8,7 @@ from orderflow.sources.tables import SourceTables, read_csv
 
 
 def write_sample(
-    spark: SparkSession, tables: SourceTables, path: str, n: int = 1000, seed: int = 42
+    spark: SparkSession, tables: SourceTables, path: str, n: int = 1000, seed: int | None = 42
 ) -> None:
     """Sample ``n`` orders and write all six tables cut down to them as CSV.
 

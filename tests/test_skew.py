@@ -2,11 +2,14 @@
 
 import re
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import clean, lines
+from orderflow.plans import batch
+from orderflow.session import SETTINGS
 from orderflow.sinks import warehouse as sink
 from orderflow.sources.tables import SourceTables
 
@@ -107,6 +110,15 @@ def test_hot_keys_are_split_in_every_big_join(spark, tables):
     assert found == expected
 
 
+def test_hot_keys_are_split_when_deduplication_follows(spark, tables):
+    with settings(spark, {**SMALL, **SETTINGS}):
+        rows = batch.orders_in_memory(tables, datetime(2020, 1, 1, tzinfo=timezone.utc))
+        plan = final_plan(rows)
+        split = set(re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", plan))
+        assert split == {"customer_id", "order_id", "product_id"}
+        assert rows.count() == lines.order_lines(tables.items).count()
+
+
 def test_groups_shrink_before_the_shuffle(tables):
     for frame in (
         lines.order_lines(tables.items),
