@@ -1,6 +1,7 @@
 """The validation contract, line by line."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -136,3 +137,54 @@ def test_split_keeps_every_line(spark):
     assert all("value_tier" in document for document in valid)
     dead = {row.value for row in routed if row.outcome == validate.DEAD_LETTER}
     assert dead == {row.value for row in rejected}
+
+
+def is_valid(line):
+    """The contract in plain Python, for lines without special cases of number tokens."""
+    try:
+        document = json.loads(line)
+    except ValueError:
+        return False
+    if not isinstance(document, dict) or not all(document.get(name) for name in BASE):
+        return False
+    amount, status = document["amount"], document["status"]
+    if isinstance(amount, bool) or not isinstance(amount, (int, float)):
+        return False
+    return not amount <= 0 and isinstance(status, str)
+
+
+def damaged_lines(count):
+    pick = random.Random(11)
+    values = [
+        "x", "", " ", "0", "0.0", "false", "null", "[]", "{}", "-1", "é\"\\/\t", "NaN", "] }",
+        0, 0.0, -0.0, 1, -1, 1e-9, 1e300, 12345678901234567890, 2.50, True, False, None,
+        [], [0], [[]], {}, {"a": 0}, {"a": [{"b": 1}]}, float("nan"), float("inf"), -float("inf"),
+    ]
+    pieces = list('{}[],:"\\ 0a-') + ["}]", "]}", '"amount":1,', "null", "\t", "//", "tru"]
+    lines = set()
+    while len(lines) < count:
+        fields = dict(BASE)
+        for _ in range(pick.randrange(3)):
+            fields[pick.choice([*BASE, "quantity", "note"])] = pick.choice(values)
+        if pick.random() < 0.2:
+            fields.pop(pick.choice(list(fields)))
+        line = json.dumps(fields, ensure_ascii=pick.random() < 0.5)
+        for _ in range(pick.choice([0, 0, 1, 1, 2])):
+            at = pick.randrange(len(line) + 1)
+            if pick.random() < 0.5:
+                line = line[:at] + pick.choice(pieces) + line[at:]
+            else:
+                line = line[:at] + line[at + pick.randrange(1, 4) :]
+        lines.add(line)
+    return sorted(lines)
+
+
+def test_damaged_lines_agree_with_python(spark):
+    lines = damaged_lines(6000)
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").repartition(8)
+    checked = validate.check(frame)
+    found = {row.value: row.reject_reason for row in checked.select("value", "reject_reason").collect()}
+    assert len(found) == len(lines)
+    wrong = [(line, found[line]) for line in lines if (found[line] is None) != is_valid(line)]
+    assert not wrong, wrong[:5]
+    assert sum(reason is None for reason in found.values()) > 500
