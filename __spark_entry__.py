@@ -230,7 +230,8 @@ def agg_sales_daily(spark, sf_dir):
 def partitioned_write_readback(spark, sf_dir):
     """The orders table written by date and read back."""
     path = work_dir(spark, "orders")
-    warehouse_sink.append_orders(_warehouse(spark, sf_dir), path)
+    tables = data.source_tables(spark, sf_dir, by_month=True)
+    warehouse_sink.append_orders(batch.orders_in_memory(tables, RUN_TS, **data.LINE_TIERS), path)
     return read_orders(spark, path).drop(*S.CLOCK_COLUMNS)
 
 
@@ -267,7 +268,8 @@ def load_counts(spark, sf_dir):
 def batch_run_daily(spark, sf_dir):
     """All stages over files: messages, validation, load, marts; the daily mart read back."""
     layout = batch.Layout.under(work_dir(spark, "run"))
-    batch.run_all(spark, _tables(spark, sf_dir), layout, run_ts=RUN_TS)
+    tables = data.source_tables(spark, sf_dir, by_month=True)
+    batch.run_all(spark, tables, layout, run_ts=RUN_TS)
     return spark.read.parquet(f"{layout.marts}/agg_sales_daily")
 
 

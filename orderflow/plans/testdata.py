@@ -66,8 +66,11 @@ def categories(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(S.CATEGORIES.names)})")
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
+def source_tables(spark: SparkSession, sf_dir: str, by_month: bool = False) -> SourceTables:
+    """All six tables; ``by_month`` dates every order on the first of its month, for runs
+    that write one directory per date."""
     lineitem = table(spark, sf_dir, "lineitem")
+    ordered = F.date_trunc("month", "o_orderdate") if by_month else F.col("o_orderdate")
     return SourceTables(
         items=lineitem.select(
             _text("l_orderkey").alias("order_id"),
@@ -80,7 +83,7 @@ def source_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
             _text("o_orderkey").alias("order_id"),
             _text("o_custkey").alias("customer_id"),
             order_status().alias("order_status"),
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
+            F.date_format(ordered, "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
         ),
         payments=lineitem.select(
             _text("l_orderkey").alias("order_id"),
