@@ -151,6 +151,18 @@ def routed_write_readback(spark, sf_dir):
     )
 
 
+def extra_fields_kept(spark, sf_dir):
+    """Valid lines as they leave validation with fields outside the layout carried on."""
+    checked = validate.check(data.faulty_lines(spark, sf_dir))
+    routed = validate.routed_lines(checked, RUN_TS, keep_extra=True)
+    fields = F.from_json("value", "order_id string, status string, note struct<k array<long>>")
+    return (
+        routed.filter(F.col("outcome") == validate.VALID)
+        .select(fields.alias("fields"))
+        .select("fields.order_id", "fields.status", F.col("fields.note.k")[0].alias("note_value"))
+    )
+
+
 def dead_letter_table(spark, sf_dir):
     """Dead letters with their reason written as Parquet, counted per reason."""
     path = work_dir(spark, "dead")
@@ -419,6 +431,7 @@ QUERIES = [
     validate_dead_letter,
     reject_reason_counts,
     routed_write_readback,
+    extra_fields_kept,
     dead_letter_table,
     value_tier,
     status_upper,

@@ -31,6 +31,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--num-events", type=int, help="publish a sample of this size")
     parser.add_argument("--num-orders", type=int, default=1000, help="orders in a sample set")
     parser.add_argument("--seed", type=int, help="seed of the sample")
+    parser.add_argument(
+        "--keep-extra", action="store_true", help="carry on message fields outside the layout"
+    )
     options = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("orderflow").getOrCreate())
@@ -53,7 +56,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.stage in ("publish", "all"):
         batch.publish(tables(), layout, options.num_events, options.seed)
     if options.stage in ("validate", "all"):
-        batch.validate(spark, layout)
+        batch.validate(spark, layout, keep_extra=options.keep_extra)
     if options.stage in ("load", "all"):
         counts = batch.load(spark, layout)
         print(f"rows read: {counts['enriched']}, rows after cleaning: {counts['warehouse']}")

@@ -31,7 +31,11 @@ def land(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def validate_stream(
-    lines: DataFrame, path: str, checkpoint: str, run_ts: datetime | None = None
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    run_ts: datetime | None = None,
+    keep_extra: bool = False,
 ) -> StreamingQuery:
     """Split new lines into valid orders and dead letters under ``path``.
 
@@ -39,7 +43,7 @@ def validate_stream(
     crash leaves no duplicates; read the folder itself and filter on ``outcome``.
     """
     return (
-        routed_lines(check(lines), run_ts)
+        routed_lines(check(lines), run_ts, keep_extra)
         .writeStream.format("text")
         .partitionBy("outcome")
         .option("path", path)

@@ -139,6 +139,21 @@ def test_split_keeps_every_line(spark):
     assert dead == {row.value for row in rejected}
 
 
+def test_extra_fields_are_carried_on_when_asked(spark):
+    extra = {"note": {"k": [1, None, "{x"]}, "flag": True, "{": 1.5}
+    lines = [order(**extra), order(value_tier="mine"), GOOD, "bad"]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    routed = validate.routed_lines(validate.check(frame), keep_extra=True).collect()
+    valid = [json.loads(row.value) for row in routed if row.outcome == validate.VALID]
+    assert {name: valid[0][name] for name in extra} == extra
+    assert valid[0]["status"] == "DELIVERED"
+    assert valid[1]["value_tier"] == "low"
+    assert valid[0].keys() - extra.keys() == valid[1].keys() == valid[2].keys()
+    assert [row.value for row in routed if row.outcome == validate.DEAD_LETTER] == ["bad"]
+    plain = validate.routed_lines(validate.check(frame)).first()
+    assert not extra.keys() & json.loads(plain.value).keys()
+
+
 def is_valid(line):
     """The contract in plain Python, for lines without special cases of number tokens."""
     try:
