@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Table files are compressed: judge what may be broadcast by about its size in memory.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the next step then needs a shuffle it would else save.
