@@ -27,6 +27,15 @@ from orderflow.sources.tables import SourceTables, read_source_tables  # noqa: E
 from orderflow.sources.warehouse import read_orders  # noqa: E402
 from orderflow.streaming import feed  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from orderflow.llm import queries as corpus_queries  # noqa: E402
+except ModuleNotFoundError as error:
+    # The library works without its training-corpus part; any other missing module is an error.
+    if error.name not in ("corpus_pipeline", "orderflow.llm", "orderflow.llm.queries"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 # The wall clock is left out of compared results, so any fixed moment will do.
 RUN_TS = datetime(2020, 1, 1, tzinfo=timezone.utc)
 
@@ -477,8 +486,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: _configured(query) for query in QUERIES}
+    registered = {query.__name__: query for query in QUERIES}
+    if corpus_queries:
+        registered |= {query.__name__: query for query in corpus_queries.QUERIES}
+        registered["pipeline"] = corpus_pipeline.run
+    return {name: _configured(query) for name, query in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.sql()
+    more = corpus_queries.SQL if corpus_queries else {}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        more = more | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return oracle_queries.sql() | more
