@@ -35,9 +35,10 @@ def _listed(spans):
 
 
 def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in kinds
-    ]
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in kinds]
     return found.select(
         "doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans")
     )
