@@ -19,6 +19,9 @@ CELL_BITS = 16
 #: Standard deviations that an estimate may be off.
 SURE = 5.0
 _BLOCK = 512
+_PAIRS_AT_ONCE = 100_000
+#: Rows of the tiles that one call compares, about.
+_BUNDLE = 10_000
 _ODD = mixed(np.arange(100, 104)) | np.uint64(1)
 
 
@@ -44,17 +47,18 @@ class Codes:
         self.signs = np.packbits(self.rotated > 0, axis=1)
         self.agreement = np.abs(self.rotated).sum(axis=1) / np.sqrt(unit.shape[1])
 
-    def estimates(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unbiased estimates of inner products with rotated queries, and how far off each may be.
+    def estimates(self, queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unbiased estimates of inner products of rotated queries with the vectors at rows, and their bounds.
 
         The inner product of a query with a vector's signs, over the vector's agreement with
         them, is right in the mean over rotations; what remains spreads as the part of the
         vector that its signs miss.
         """
         dims = self.rotated.shape[1]
-        signs = (np.unpackbits(self.signs, axis=1, count=dims).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dims))
-        found = queries.astype(np.float32) @ signs.T / self.agreement
-        missed = np.sqrt(np.maximum(1 - self.agreement**2, 0)) / self.agreement
+        signs = np.unpackbits(self.signs[rows], axis=1, count=dims).astype(np.float32) * 2 - 1
+        agreement = self.agreement[rows]
+        found = np.einsum("ij,ij->i", queries, signs) / np.sqrt(dims) / agreement
+        missed = np.sqrt(np.maximum(1 - agreement**2, 0)) / agreement
         return found, SURE * missed / np.sqrt(max(dims - 1, 1))
 
 
@@ -65,48 +69,68 @@ def _unit(column: pd.Series) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def compare_tile(tile: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Links of the asking vectors of a tile to the others: per vector their number, and a forest."""
-    asks, others = tile[tile["asks"]], tile[~tile["asks"]]
-    empty = pd.DataFrame({"a": [], "b": [], "links": []}, dtype="int64")
-    if asks.empty or others.empty:
-        return empty
-    table = int(tile["table"].iloc[0])
-    cells_a = np.stack([np.frombuffer(c, np.uint16) for c in asks["cells"]])
-    cells_b = np.stack([np.frombuffer(c, np.uint16) for c in others["cells"]])
-    nodes_a, nodes_b = asks["node"].to_numpy(), others["node"].to_numpy()
-    open_pairs = nodes_a[:, None] != nodes_b[None, :]
-    # A pair counts in the first table in which it meets.
-    for earlier in range(table):
-        open_pairs &= cells_a[:, None, earlier] != cells_b[None, :, earlier]
-    if not open_pairs.any():
-        return empty
-    unit_a, unit_b = _unit(asks["embedding"]), _unit(others["embedding"])
-    codes = Codes(unit_b)
-    found, off = codes.estimates(unit_a @ rotation(unit_a.shape[1]))
-    open_pairs &= found + off >= least
-    a, b = np.nonzero(open_pairs)
-    exact = np.einsum("ij,ij->i", unit_a[a], unit_b[b])
-    a, b = a[exact >= least], b[exact >= least]
-    if not len(a):
-        return empty
-    links = np.bincount(a, others["copies"].to_numpy()[b], len(asks)).astype(np.int64)
-    # Each vector's smallest neighbour by turns, until nothing changes: one link a vector is left.
-    label_a, label_b = nodes_a.copy(), nodes_b.copy()
-    while True:
-        before = label_a.copy(), label_b.copy()
-        np.minimum.at(label_b, b, label_a[a])
-        np.minimum.at(label_a, a, label_b[b])
-        if (label_a == before[0]).all() and (label_b == before[1]).all():
-            break
-    met_a, met_b = np.unique(a), np.unique(b)
-    return pd.DataFrame(
-        {
-            "a": np.concatenate((nodes_a[met_a], nodes_b[met_b])),
-            "b": np.concatenate((label_a[met_a], label_b[met_b])),
-            "links": np.concatenate((links[met_a], np.zeros(len(met_b), np.int64))),
-        }
-    )
+def _pairs(sizes_a: np.ndarray, sizes_b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of asking and other rows within each tile, a bounded number at a time."""
+    first_a, first_b = np.cumsum(sizes_a) - sizes_a, np.cumsum(sizes_b) - sizes_b
+    row_tile = np.repeat(np.arange(len(sizes_a)), sizes_a)
+    counts = sizes_b[row_tile]
+    ends = np.cumsum(counts)
+    begin = 0
+    while begin < len(counts):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + _PAIRS_AT_ONCE, "right")))
+        own = counts[begin:end]
+        a = np.repeat(np.arange(begin, end), own)
+        place = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        yield a, first_b[row_tile[a]] + place
+        begin = end
+
+
+def compare_tiles(tiles: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links within the tiles of a bundle: per asking vector their number, and a forest of them."""
+    found = [_compared(same, least) for _, same in tiles.groupby(tiles["embedding"].map(len))]
+    a, b, copies = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in range(3))
+    nodes, place = np.unique(np.concatenate((a, b)), return_inverse=True)
+    place_a, place_b = place[: len(a)], place[len(a) :]
+    links = np.bincount(place_a, copies, len(nodes)).astype(np.int64)
+    # The smallest neighbour by turns, until nothing changes: one link a vector is left.
+    label, before = nodes.copy(), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        np.minimum.at(label, place_b, before[place_a])
+        np.minimum.at(label, place_a, before[place_b])
+    return pd.DataFrame({"a": nodes, "b": label, "links": links})
+
+
+def _compared(tiles: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Asking node, other node and the other's copies of every link, each in one table only."""
+    tile = pd.MultiIndex.from_frame(tiles[["cell", "q", "t"]]).factorize()[0]
+    order = np.argsort(tile, kind="stable")
+    tiles, tile = tiles.iloc[order], tile[order]
+    asks = tiles["asks"].to_numpy()
+    count = int(tile.max()) + 1
+    one, other = tiles[asks], tiles[~asks]
+    cells_a, cells_b = (np.stack([np.frombuffer(c, np.uint16) for c in x["cells"]]).reshape(-1, TABLES) for x in (one, other))
+    nodes_a, nodes_b = one["node"].to_numpy(), other["node"].to_numpy()
+    table, copies = one["table"].to_numpy(), other["copies"].to_numpy()
+    unit_a, unit_b = _unit(one["embedding"]), _unit(other["embedding"])
+    codes, queries = Codes(unit_b), (unit_a @ rotation(unit_a.shape[1])).astype(np.float32)
+    out: list[tuple] = []
+    for a, b in _pairs(np.bincount(tile[asks], minlength=count), np.bincount(tile[~asks], minlength=count)):
+        open_pairs = nodes_a[a] != nodes_b[b]
+        a, b = a[open_pairs], b[open_pairs]
+        # A pair counts in the first table in which it meets.
+        first = (cells_a[a] == cells_b[b]).argmax(axis=1) == table[a]
+        a, b = a[first], b[first]
+        estimate, off = codes.estimates(queries[a], b)
+        a, b = a[estimate + off >= least], b[estimate + off >= least]
+        exact = np.einsum("ij,ij->i", unit_a[a], unit_b[b])
+        a, b = a[exact >= least], b[exact >= least]
+        out.append((nodes_a[a], nodes_b[b], copies[b]))
+    if not out:
+        nothing = np.zeros(0, np.int64)
+        return nothing, nothing, nothing
+    return tuple(np.concatenate([x[k] for x in out]) for k in range(3))
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
@@ -115,7 +139,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     Only vectors of one label and length are compared. Equal vectors are one node with its number
     of copies. Nodes meet in the cells of ``TABLES`` tables of random planes: a pair of cosine
     0.98 shares one with probability 0.9995, closer ones more surely. Cells are cut into blocks
-    and every two blocks of a cell are a tile. In a tile the inner products are estimated from
+    and every two blocks of a cell are a tile. Tiles are compared in bundles. In a tile the inner products are estimated from
     binary codes of randomly rotated vectors and their correction factors; a pair whose estimate
     and its bound leave the threshold open is computed again in double precision. Links are
     counted in the tile and leave it as one link a node, so a dense cell gives no table of pairs.
@@ -178,8 +202,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     asking = split.select("cell", "table", "node", F.col("block").alias("q"), F.explode("every").alias("t"), F.lit(True).alias("asks"))
     asked = split.select("cell", "table", "node", F.explode("every").alias("q"), F.col("block").alias("t"), F.lit(False).alias("asks"))
     tiles = asking.unionByName(asked).join(carried.select("node", "copies", "embedding", "cells"), "node")
+    rows_in_tiles = sizes.agg(F.sum(2 * F.col("members") * blocks)).first()[0] or 0
+    bundle = F.pmod(F.xxhash64("cell", "q", "t"), F.lit(rows_in_tiles // _BUNDLE + 1))
     found = written(
-        tiles.groupBy("cell", "q", "t").applyInPandas(lambda tile: compare_tile(tile, least), "a long, b long, links long"),
+        tiles.groupBy(bundle.alias("bundle")).applyInPandas(lambda own: compare_tiles(own, least), "a long, b long, links long"),
         "vector-links",
     )
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
