@@ -125,6 +125,8 @@ def mix(
     else:
         picks = picks.withColumn("added", F.array().cast("array<long>"))
 
+    # Stored, so that a table of few sources is seen to be small and the texts need no shuffle.
+    picks = written(picks, "mix-picks")
     sampled = F.col("open") & (
         (F.col("rank_key") <= F.coalesce("cut", F.lit(-1)))
         | F.coalesce(F.array_contains("added", F.col("rank_key")), F.lit(False))
