@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.
 _SLOTS = 1 << 16
 #: Slots of pairs, then of triples, then one for what crosses the end of a text.
 _DIMS = 2 * _SLOTS + 1
-_BYTES_AT_ONCE = 4_000_000
+_BYTES_AT_ONCE = 2_000_000
 
 # Letters in lower case, all other ASCII characters as one blank, further bytes as they are.
 _FOLDED = np.arange(256, dtype=np.uint32)
@@ -219,6 +220,21 @@ def train(docs: DataFrame, per_language: int = 250) -> Model | None:
 PREDICTION = "doc_id long, lang_pred string, score double"
 
 
+def _languages(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text, worked out for a few megabytes at a time."""
+    if model is None:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    data, bounds = text_bytes(texts)
+    languages, scores = [], [np.zeros(0)]
+    for first, last in chunks(bounds, _BYTES_AT_ONCE):
+        part, own = data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+        known = has_letter(part, own)
+        found, sure = model.predict(_margins(model, part, own))
+        languages += [lang if letter else UNKNOWN for lang, letter in zip(found, known, strict=True)]
+        scores.append(np.where(known, sure, 0.0))
+    return languages, np.concatenate(scores)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of each row, from nothing but its text.
 
@@ -230,17 +246,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = text_bytes(batch.column(1))
-            languages, scores = [], []
-            for first, last in chunks(bounds, _BYTES_AT_ONCE):
-                part, own = data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
-                known = has_letter(part, own) if model else np.zeros(last - first, bool)
-                found, sure = model.predict(_margins(model, part, own)) if model else ([UNKNOWN] * (last - first), known)
-                languages += [lang if letter else UNKNOWN for lang, letter in zip(found, known, strict=True)]
-                scores.append(np.where(known, sure, 0.0))
+            languages, scores = _languages(batch.column(1), model)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(languages, pa.string()), pa.array(np.concatenate([*scores, np.zeros(0)]))],
-                names=["doc_id", "lang_pred", "score"],
+                [batch.column(0), pa.array(languages, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]
             )
 
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -251,15 +259,9 @@ def identified(docs: DataFrame, model: Model | None, least: float = 0.0) -> Data
     """The documents, all columns, whose language is known with a score of ``least`` or more."""
 
     @F.pandas_udf("struct<lang_pred: string, score: double>")
-    def language(texts):
-        import pandas as pd
-
-        data, bounds = text_bytes(pa.array(texts, pa.string()))
-        known = has_letter(data, bounds)
-        found, sure = model.predict(_margins(model, data, bounds)) if model else ([UNKNOWN] * len(known), np.zeros(len(known)))
-        return pd.DataFrame(
-            {"lang_pred": np.where(known, np.array(found, object), UNKNOWN), "score": np.where(known, sure, 0.0)}
-        )
+    def language(texts: pd.Series) -> pd.DataFrame:
+        languages, scores = _languages(pa.array(texts, pa.string()), model)
+        return pd.DataFrame({"lang_pred": languages, "score": scores})
 
     seen = language(F.col("text").cast("string"))
     return docs.filter((seen["lang_pred"] != UNKNOWN) & (seen["score"] >= least))
