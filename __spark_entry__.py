@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -19,7 +20,7 @@ from orderflow.operators import clean, lines, quality, sample, validate  # noqa:
 from orderflow.operators.messages import to_messages  # noqa: E402
 from orderflow.plans import batch, marts, sample_set  # noqa: E402
 from orderflow.plans import testdata as data  # noqa: E402
-from orderflow.session import configure, work_dir  # noqa: E402
+from orderflow.session import WORK_DIR, configure, work_dir  # noqa: E402
 from orderflow.sinks import files  # noqa: E402
 from orderflow.sinks import warehouse as warehouse_sink  # noqa: E402
 from orderflow.sources.messages import read_lines, stream_lines  # noqa: E402
@@ -251,7 +252,7 @@ def agg_sales_daily(spark, sf_dir):
 def partitioned_write_readback(spark, sf_dir):
     """The orders table written by date and read back."""
     path = work_dir(spark, "orders")
-    tables = data.source_tables(spark, sf_dir, by_month=True)
+    tables = data.source_tables(spark, sf_dir)
     warehouse_sink.append_orders(batch.orders_in_memory(tables, RUN_TS, **data.LINE_TIERS), path)
     return read_orders(spark, path).drop(*S.CLOCK_COLUMNS)
 
@@ -289,7 +290,7 @@ def load_counts(spark, sf_dir):
 def batch_run_daily(spark, sf_dir):
     """All stages over files: messages, validation, load, marts; the daily mart read back."""
     layout = batch.Layout.under(work_dir(spark, "run"))
-    tables = data.source_tables(spark, sf_dir, by_month=True)
+    tables = data.source_tables(spark, sf_dir)
     batch.run_all(spark, tables, layout, run_ts=RUN_TS)
     return spark.read.parquet(f"{layout.marts}/agg_sales_daily")
 
@@ -302,9 +303,9 @@ def sample_lines(spark, sf_dir):
 
 
 def sample_by_cut(spark, sf_dir):
-    """The way samples beyond a top-n are taken, here for 20,000 items."""
+    """A larger sample, of 20,000 items."""
     key = ["order_id", "order_item_id", "product_id"]
-    return sample.sample_rows(_tables(spark, sf_dir).items, 20_000, key, top_n=0).select(key)
+    return sample.sample_rows(_tables(spark, sf_dir).items, 20_000, key).select(key)
 
 
 def sample_orders_consistent(spark, sf_dir):
@@ -471,9 +472,17 @@ QUERIES = [
 ]
 
 
+def _ready(spark: SparkSession) -> SparkSession:
+    """The session with its settings; one without a shared folder, as in tests, gets its own."""
+    configure(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.conf.get(WORK_DIR, None):
+        spark.conf.set(WORK_DIR, tempfile.mkdtemp(prefix="orderflow-"))
+    return spark
+
+
 def _configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        return query(_ready(spark), sf_dir)
 
     run.__name__ = query.__name__
     run.__doc__ = query.__doc__
@@ -482,7 +491,7 @@ def _configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Daily sales over the whole chain, on the smallest tables."""
-    return agg_sales_daily(configure(spark), "/root/testdata/sf0.001")
+    return agg_sales_daily(_ready(spark), "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

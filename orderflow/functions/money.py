@@ -23,18 +23,19 @@ def round_half_up(amount: Column) -> Column:
 
 
 def cents_sum(amount: Column) -> Column:
-    """Sum of amounts that already have two decimals, as a double.
+    """Sum of amounts as a double; those that are whole cents add up exactly.
 
-    Cents add up exactly as decimals, so a retried task or another partitioning gives
-    the same total. Values a decimal cannot hold (NaN, infinities, huge amounts) are
-    added as doubles instead of being lost.
+    Whole cents are added as decimals, so a retried task or another partitioning gives the
+    same total. Other amounts (parts of a cent, NaN, infinities, huge ones) are added as
+    doubles, so nothing is lost.
     """
-    exact = amount.try_cast(_CENTS)
-    rest = F.when(exact.isNull(), amount)
-    total = F.sum(exact).cast("double")
-    return F.coalesce(total + F.sum(rest), total, F.sum(rest))
+    cents = amount.try_cast(_CENTS)
+    whole = F.coalesce(cents.cast("double") == amount, F.lit(False))
+    rest = F.sum(F.when(~whole, amount))
+    total = F.sum(F.when(whole, cents)).cast("double")
+    return F.coalesce(total + rest, total, rest)
 
 
 def cents_avg(amount: Column) -> Column:
-    """Mean of amounts that already have two decimals, rounded to two decimals."""
+    """Mean of amounts, rounded to two decimals."""
     return round_half_up(cents_sum(amount) / F.nullif(F.count(amount), F.lit(0)))

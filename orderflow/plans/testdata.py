@@ -66,11 +66,10 @@ def categories(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(S.CATEGORIES.names)})")
 
 
-def source_tables(spark: SparkSession, sf_dir: str, by_month: bool = False) -> SourceTables:
-    """All six tables; ``by_month`` dates every order on the first of its month, for runs
-    that write one directory per date."""
+def source_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
+    """All six tables."""
     lineitem = table(spark, sf_dir, "lineitem")
-    ordered = F.date_trunc("month", "o_orderdate") if by_month else F.col("o_orderdate")
+    ordered = F.col("o_orderdate")
     return SourceTables(
         items=lineitem.select(
             _text("l_orderkey").alias("order_id"),

@@ -1,6 +1,5 @@
 """Session settings the plans rely on, and where durable intermediate files go."""
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -11,6 +10,10 @@ SETTINGS = {
     # Table files are compressed: judge what may be broadcast by about its size in memory.
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.enabled": "true",
+    # Keys of streams lie on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the next step then needs a shuffle it would else save.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -25,17 +28,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Where intermediates go in a session without ``spark.checkpoint.dir``: for tests on one machine.
+WORK_DIR = "orderflow.work.dir"
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory for written intermediates, stream checkpoints included.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. A local session
-    without that setting (tests) gets a temporary folder; a cluster never does.
+    It lies in the shared folder named by ``spark.checkpoint.dir``. A session without that
+    setting must name a folder in ``orderflow.work.dir``.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="orderflow-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

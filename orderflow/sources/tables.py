@@ -25,13 +25,17 @@ def _typed(cell: Column, field: T.StructField) -> Column:
     return value.alias(field.name)
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """Header CSV with columns found by name; cells that mean "no value" become null.
 
     Cells are read as text, so there is no inference pass over the data. Without a schema
-    every column is kept as text.
+    every column is kept as text. ``multi_line`` allows line breaks in quoted cells; a file is
+    then read by one task.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    raw = spark.read.options(**options).csv(path)
     if schema is None:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])
     return raw.select([_typed(raw[field.name], field) for field in schema])

@@ -4,9 +4,9 @@ Every stream drains what is available and stops; offsets are committed after the
 so a rerun picks up where the last run ended and a crash repeats at most one batch.
 """
 
-from datetime import date, datetime
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,13 +16,27 @@ from orderflow.operators.clean import typed, warehouse_rows
 from orderflow.operators.validate import VALID, check, routed_lines
 from orderflow.plans.marts import agg_sales_daily, stg_orders
 from orderflow.sinks.warehouse import append_new_orders
-from orderflow.sources.warehouse import on_dates, read_orders, touched_dates
+from orderflow.sources.warehouse import on_dates_of, read_orders
+
+
+def one_line(message: Column) -> Column:
+    """A message as one line of text.
+
+    Line breaks of a whole JSON document are white space and become blanks. Any other message
+    keeps them as escapes, and so stays the dead letter it is.
+    """
+    broken = message.rlike("[\\r\\n]")
+    blanks = F.regexp_replace(message, "[\\r\\n]+", " ")
+    escaped = F.replace(F.replace(message, F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
+    whole = F.try_parse_json(message).isNotNull()
+    return F.when(broken & whole, blanks).when(broken, escaped).otherwise(message)
 
 
 def land(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append feed messages to the landing folder, unparsed, so no message can block it."""
+    """Append feed messages to the landing folder, one line each; no message can block it."""
     return (
-        lines.writeStream.format("text")
+        lines.select(one_line(F.col("value")).alias("value"))
+        .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -94,10 +108,9 @@ def load_stream(
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        dates = touched_dates(typed(batch))
-        append_new_orders(spark, warehouse_rows(batch, run_ts), warehouse, dates)
+        append_new_orders(spark, warehouse_rows(batch, run_ts), warehouse)
         if daily:
-            refresh_daily(spark, dates, warehouse, daily)
+            refresh_daily(spark, typed(batch), warehouse, daily)
 
     return (
         enriched.writeStream.foreachBatch(load_batch)
@@ -107,11 +120,9 @@ def load_stream(
     )
 
 
-def refresh_daily(
-    spark: SparkSession, dates: list[date | None] | None, warehouse: str, daily: str
-) -> None:
-    """Recompute daily sales of the given dates (None: all) from the orders table."""
-    staging = stg_orders(on_dates(read_orders(spark, warehouse), dates))
+def refresh_daily(spark: SparkSession, rows: DataFrame, warehouse: str, daily: str) -> None:
+    """Recompute daily sales of the dates that occur in ``rows`` from the orders table."""
+    staging = stg_orders(on_dates_of(read_orders(spark, warehouse), rows))
     (
         agg_sales_daily(staging)
         .hint("rebalance", "order_date")

@@ -171,3 +171,13 @@ def test_daily_sales(spark):
     )
     assert found["SHIPPED", None].line_count == 1
     assert found["CREATED", "SP"].total_revenue is None
+
+
+def test_sums_keep_parts_of_a_cent(spark):
+    from orderflow.functions.money import cents_avg, cents_sum
+
+    rows = spark.range(1000).selectExpr("CAST(0.004 AS DOUBLE) AS x").unionByName(
+        spark.range(100).selectExpr("CAST(0.10 AS DOUBLE) AS x")
+    )
+    total, mean = rows.agg(cents_sum(rows["x"]), cents_avg(rows["x"])).first()
+    assert abs(total - 14.0) < 1e-9 and mean == 0.01

@@ -132,3 +132,10 @@ def test_repeats_within_the_watermark(spark, tmp_path):
     query.awaitTermination()
     found = spark.read.parquet(f"{tmp_path}/out")
     assert found.count() == 50 == found.select(*S.LINE_KEY).distinct().count()
+
+
+def test_message_lands_as_one_line(spark):
+    texts = ['{"a":\n 1,\r\n "b": "x"}', 'not\njson', '{"a": "raw\nbreak"}', '{"a": 1}']
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    landed = [r.line for r in rows.select(feed.one_line(rows["value"]).alias("line")).collect()]
+    assert landed == ['{"a":  1,  "b": "x"}', "not\\njson", '{"a": "raw\\nbreak"}', '{"a": 1}']
