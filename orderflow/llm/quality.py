@@ -16,22 +16,17 @@ RESULT = [
 ]
 
 
-def _windows(parts: Column) -> Column:
-    """Windows of three words as (hash, position of the first word), in order of the hash."""
+def _window_hashes(parts: Column) -> Column:
+    """A hash of each window of three words."""
     at = F.sequence(F.lit(0), F.size(parts) - 3)
-    window = F.transform(
-        at,
-        lambda i: F.struct(
-            F.xxhash64(F.get(parts, i), F.get(parts, i + 1), F.get(parts, i + 2)).alias("hash"), i.alias("at")
-        ),
-    )
-    return F.when(F.size(parts) >= 3, F.array_sort(window))
+    window = F.transform(at, lambda i: F.xxhash64(F.get(parts, i), F.get(parts, i + 1), F.get(parts, i + 2)))
+    return F.when(F.size(parts) >= 3, window)
 
 
 def _repeat_words() -> Column:
     """Words in windows found twice or more: windows beside an equal one once sorted, by position."""
-    return F.aggregate(
-        F.array_sort(
+    return F.when(F.col("windows").isNotNull(), F.aggregate(
+        F.sort_array(
             F.transform(
                 F.filter(
                     F.transform(
@@ -55,7 +50,7 @@ def _repeat_words() -> Column:
             (state["covered"] + at + 3 - F.greatest(state["next"], at)).alias("covered"), (at + 3).alias("next")
         ),
         lambda state: state["covered"],
-    )
+    ))
 
 
 def rule_counts(docs: DataFrame) -> DataFrame:
@@ -67,7 +62,14 @@ def rule_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda line: F.length(without(line, GAP_CHARS)) > 0)
     counted = (
         docs.withColumn("lines", lines)
-        .withColumn("windows", _windows(F.col("parts")))
+        .withColumn("hashes", _window_hashes(F.col("parts")))
+        .withColumn(
+            "windows",
+            F.when(
+                F.size(F.array_distinct("hashes")) < F.size("hashes"),
+                F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("hash"), i.alias("at")))),
+            ),
+        )
         .withColumns(
             {
                 "n_words": F.size("parts").cast("long"),
@@ -77,15 +79,14 @@ def rule_counts(docs: DataFrame) -> DataFrame:
                 "n_repeat_words": F.coalesce(_repeat_words(), F.lit(0)).cast("long"),
             }
         )
-        .drop("lines", "windows")
+        .drop("lines", "windows", "hashes")
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
 
 
-def _ngrams(parts: Column, buckets: int) -> Column:
-    """Buckets of all words and of all pairs of neighbouring words, without regard to case."""
-    lower = F.transform(parts, F.lower)
+def _ngrams(lower: Column, buckets: int) -> Column:
+    """Buckets of all words, in lower case, and of all pairs of neighbouring words."""
     single = F.transform(lower, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
     pairs = F.zip_with(
         lower,
@@ -104,7 +105,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float)
     """
     ids = trusted.select("doc_id").distinct().withColumn("is_trusted", F.lit(1))
     marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    grams = marked.select("is_trusted", F.explode(_ngrams(words(F.col("text")), buckets)).alias("bucket"))
+    grams = marked.select("is_trusted", F.explode(_ngrams(words(F.lower("text")), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("is_trusted").alias("target"))
     raw, target = [1.0] * buckets, [0.0] * buckets
     for row in counts.toLocalIterator():
@@ -138,7 +139,7 @@ def score(
     weights = ",".join(map(repr, log_ratios(plain, trusted, buckets, prior)))
     weight = F.split(F.lit(weights), ",").cast("array<double>")
     counted = rule_counts(plain.withColumn("parts", words(F.col("text"))))
-    summed = counted.withColumn("grams", _ngrams(F.col("parts"), buckets)).withColumn(
+    summed = counted.withColumn("grams", _ngrams(words(F.lower("text")), buckets)).withColumn(
         "ratio",
         F.aggregate("grams", F.lit(0.0), lambda total, gram: total + F.get(weight, gram))
         / F.greatest(F.size("grams"), F.lit(1)),
