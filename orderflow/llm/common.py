@@ -15,7 +15,6 @@ from orderflow.session import work_dir
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
-GAP_CHARS = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,16 +31,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
-
-
-def without(text: Column, chars: str) -> Column:
-    """The text without the characters listed."""
-    return F.translate(text, chars, "")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(without(F.coalesce(text, F.lit("")), GAP_CHARS)).cast("long")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

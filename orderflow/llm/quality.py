@@ -7,9 +7,9 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import GAP_CHARS, word_chars, words, without
+from orderflow.llm.common import WORD, words
 
-_SYMBOLS = "#*$%&|<>"
+_SYMBOL = "[#*$%&|<>]"
 
 RESULT = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept"
@@ -59,7 +59,7 @@ def rule_counts(docs: DataFrame) -> DataFrame:
     Expects a column ``parts`` with the words of ``text``; null texts have none.
     """
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(without(line, GAP_CHARS)) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     counted = (
         docs.withColumn("lines", lines)
         .withColumn("hashes", _window_hashes(F.col("parts")))
@@ -73,8 +73,8 @@ def rule_counts(docs: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "n_words": F.size("parts").cast("long"),
-                "word_chars": word_chars(text),
-                "n_symbols": (F.length(text) - F.length(without(text, _SYMBOLS))).cast("long"),
+                "word_chars": F.length(F.array_join("parts", "")).cast("long"),
+                "n_symbols": F.regexp_count(text, F.lit(_SYMBOL)).cast("long"),
                 "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
                 "n_repeat_words": F.coalesce(_repeat_words(), F.lit(0)).cast("long"),
             }
@@ -85,17 +85,31 @@ def rule_counts(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
+def _bucket(buckets: int, *gram: Column) -> Column:
+    return F.pmod(F.xxhash64(*gram), F.lit(buckets)).cast("int")
+
+
+def _after_first(lower: Column) -> Column:
+    return F.slice(lower, 2, F.greatest(F.size(lower), F.lit(1)))
+
+
 def _ngrams(lower: Column, buckets: int) -> Column:
     """Buckets of all words, in lower case, and of all pairs of neighbouring words."""
-    single = F.transform(lower, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pairs = F.zip_with(
-        lower,
-        F.slice(lower, 2, F.greatest(F.size(lower), F.lit(1))),
-        lambda a, b: F.when(b.isNotNull(), F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int")),
-    )
+    single = F.transform(lower, lambda w: _bucket(buckets, w))
+    pairs = F.zip_with(lower, _after_first(lower), lambda a, b: F.when(b.isNotNull(), _bucket(buckets, a, b)))
     return F.concat(single, F.filter(pairs, lambda x: x.isNotNull()))
 
 
+def _ngram_rows(docs: DataFrame, buckets: int) -> DataFrame:
+    """is_trusted and bucket of every n-gram, a row each; rows, unlike lambdas, are compiled."""
+    lower = docs.select("is_trusted", words(F.lower("text")).alias("lower"))
+    neighbours = F.arrays_zip(F.col("lower").alias("a"), _after_first(F.col("lower")).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    grams = F.array(_bucket(buckets, a), F.when(b.isNotNull(), _bucket(buckets, a, b)))
+    pairs = lower.select("is_trusted", F.inline(neighbours).alias("a", "b"))
+    return pairs.select("is_trusted", F.explode(grams).alias("bucket")).filter("bucket IS NOT NULL")
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float) -> list[float]:
     """Per bucket the log of its share in trusted documents over its share in all.
 
@@ -105,8 +119,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float)
     """
     ids = trusted.select("doc_id").distinct().withColumn("is_trusted", F.lit(1))
     marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    grams = marked.select("is_trusted", F.explode(_ngrams(words(F.lower("text")), buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("is_trusted").alias("target"))
+    counts = _ngram_rows(marked, buckets).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("is_trusted").alias("target"))
     raw, target = [1.0] * buckets, [0.0] * buckets
     for row in counts.toLocalIterator():
         raw[row.bucket] += row.raw
