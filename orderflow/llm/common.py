@@ -66,8 +66,13 @@ _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def hashed_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all words of a batch: a 64-bit hash, first byte, byte after the last, and words per text."""
+def hashed_words(
+    data: np.ndarray, bounds: np.ndarray, cuts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of a batch: a 64-bit hash, first byte, byte after the last, and words per text.
+
+    Words are also cut before the bytes at ``cuts``.
+    """
     inside = ~_IS_GAP[data]
     if not inside.any():
         nothing = np.zeros(0, np.int64)
@@ -76,6 +81,8 @@ def hashed_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     before[0], before[1:] = False, inside
     begins_text = np.zeros(len(data) + 1, bool)
     begins_text[bounds] = True
+    if cuts is not None:
+        begins_text[cuts] = True
     starts = np.flatnonzero(inside & (~before[:-1] | begins_text[:-1]))
     after = np.empty(len(data) + 1, bool)
     after[:-1], after[-1] = inside, False

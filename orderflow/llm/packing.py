@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import chunks, hashed_words, mixed, text_bytes, written
 
 #: Words whose ids a worker remembers before it starts anew.
-_REMEMBERED = 500_000
+_REMEMBERED = 1_500_000
 #: Bytes of text whose words are looked up together.
 _BYTES_AT_ONCE = 3_000_000
 #: Terms of a seed that are looked up in the index.
@@ -38,15 +38,55 @@ def _tokenizer(saved: str):
     return Tokenizer.from_str(saved)
 
 
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_IS_CAPITAL = np.zeros(256, bool)
+_IS_CAPITAL[0x41:0x5B] = True
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(b".,;:!?*$%")] = True
+#: Bytes after which a letter stands alone: ASCII, and the first byte of Latin-1 letters.
+_NO_ACCENT = np.zeros(256, bool)
+_NO_ACCENT[[*range(0x80), 0xC3]] = True
+
+
+def _simpler(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with capitals made small, and where marks that follow a letter begin.
+
+    For tokenizers that ignore case and part letters from marks: fewer different words, same
+    ids. A letter that a combining accent may follow stays as it is, for not all of them have
+    both cases with that accent; and so does all where a special token may be spelt out.
+    """
+    if b"<|" in data.tobytes():
+        return data, np.zeros(0, np.int64)
+    alone = np.ones(len(data), bool)
+    alone[:-1] = _NO_ACCENT[data[1:]]
+    small = data + ((_IS_CAPITAL[data] & alone) * np.uint8(0x20))
+    return small, np.flatnonzero(_IS_LETTER[data[:-1]] & _IS_MARK[data[1:]]) + 1
+
+
+def _ignores_case(tokenizer) -> bool:
+    """Whether capitals and marks after a letter make no difference, on a probe of all of them."""
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    letters = "".join(map(chr, np.flatnonzero(_IS_CAPITAL)))
+    marks = [chr(m) for m in np.flatnonzero(_IS_MARK)]
+    return all(ids(a + b) == ids(a.lower() + b) for a in letters for b in ("", "the", "\u00e9")) and all(
+        ids(a + m + b) == ids(a) + ids(m + b) for a in letters for m in marks for b in ("", "s", m, "1", "\u00e9")
+    )
+
+
 class WordIds:
     """Token ids of texts, put together from remembered ids of their words.
 
     The tokenizer drops white space and joins nothing across it, so a text's ids are those of
-    its words in order. Words are known by a 64-bit hash.
+    its words in order. Words are known by a 64-bit hash. If the tokenizer ignores case and parts
+    letters from marks, so do the remembered words.
     """
 
     def __init__(self, saved: str, dtype: str):
         self._tokenizer, self._dtype = _tokenizer(saved), dtype
+        self._simplify = _ignores_case(self._tokenizer)
         # By hash: when a word was last met, and where its ids are among all.
         self._hashes = np.zeros(0, np.uint64)
         self._met = np.zeros(0, np.int64)
@@ -85,7 +125,8 @@ class WordIds:
             )
 
     def _encode(self, data: np.ndarray, bounds: np.ndarray, end_id: int) -> Iterator[np.ndarray]:
-        hashes, starts, ends, counts = hashed_words(data, bounds)
+        data, cuts = _simpler(data) if self._simplify else (data, None)
+        hashes, starts, ends, counts = hashed_words(data, bounds, cuts)
         order = np.argsort(hashes)
         ordered = hashes[order]
         change = np.ones(len(hashes), bool)

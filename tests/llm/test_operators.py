@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -10,6 +11,7 @@ from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,3 +234,16 @@ def test_pipeline(spark, docs):
         before = after.cache()
     pieces = corpus_pipeline.packed(spark, before, SF)
     assert pieces.agg(F.count_distinct("doc_id")).first()[0] == before.select("doc_id").distinct().count()
+
+
+def test_ids_of_remembered_words_are_the_tokenizer_s():
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        words = packing.WordIds(file.read(), "<u2")
+    pick = random.Random(5)
+    # Letters of both cases, marks, and accents that join one case of a letter only.
+    pieces = [*"aAhHtTjJiIsSkK'.,;:!?*$% \n09|&", "\u0331", "\u0308", "\u030c", "\u0307", "\u00e9", "\u0130", "\u03a3", "\u212a", "'S", "'ll"]
+    for more in ([], ["<|endoftext|>", "<|ENDOFTEXT|>", "<|"]):
+        texts = ["".join(pick.choices(pieces + more, k=pick.randrange(30))) for _ in range(3000)]
+        found = [list(ids) for ids in words.encode(pa.array([None, *texts]), 1)]
+        right = words._tokenizer.encode_batch(["", *texts], add_special_tokens=False)
+        assert found == [[*one.ids, 1] for one in right]
