@@ -1,10 +1,15 @@
 """Run the stages from the command line or with spark-submit.
 
     python -m orderflow publish --tables DIR --root DIR [--num-events N] [--seed N]
-    python -m orderflow validate|load|model --root DIR
+    python -m orderflow validate|load|model|test --root DIR
+    python -m orderflow land --feed DIR --root DIR
+    python -m orderflow stream-validate|stream-load --root DIR
     python -m orderflow all --tables DIR --root DIR
     python -m orderflow sample --tables DIR --root DIR [--num-orders N] [--seed N]
 
+``test`` fails if a data test does; ``all`` ends with it. ``land`` and the streams take what is
+new since their last run, and stop.
+
 ``--tables`` holds one CSV file or folder per source table; ``--pattern`` says how they are
 named, with {table} standing for items, orders, payments, products, customers, categories.
 """
@@ -17,13 +22,27 @@ from orderflow import schemas as S
 from orderflow.plans import batch
 from orderflow.plans.sample_set import write_sample
 from orderflow.session import configure
+from orderflow.sources.messages import stream_lines
 from orderflow.sources.tables import read_source_tables
+from orderflow.streaming import feed
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="orderflow")
     parser.add_argument(
-        "stage", choices=["publish", "validate", "load", "model", "all", "sample"]
+        "stage",
+        choices=[
+            "publish",
+            "validate",
+            "load",
+            "model",
+            "test",
+            "all",
+            "sample",
+            "land",
+            "stream-validate",
+            "stream-load",
+        ],
     )
     parser.add_argument("--root", required=True, help="folder of the written layers")
     parser.add_argument("--tables", help="folder of the source tables")
@@ -31,9 +50,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--num-events", type=int, help="publish a sample of this size")
     parser.add_argument("--num-orders", type=int, default=1000, help="orders in a sample set")
     parser.add_argument("--seed", type=int, help="seed of the sample")
-    parser.add_argument(
-        "--keep-extra", action="store_true", help="carry on message fields outside the layout"
-    )
+    parser.add_argument("--feed", help="folder that message files arrive in")
     options = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("orderflow").getOrCreate())
@@ -53,15 +70,37 @@ def main(arguments: list[str] | None = None) -> None:
     if options.stage == "sample":
         write_sample(spark, tables(), options.root, options.num_orders, options.seed)
         return
+    if options.stage == "land":
+        if not options.feed:
+            parser.error("land needs --feed")
+        feed.land(
+            stream_lines(spark, options.feed), layout.landing, f"{options.root}/checkpoints/land"
+        ).awaitTermination()
+    if options.stage == "stream-validate":
+        feed.validate_stream(
+            stream_lines(spark, layout.landing),
+            layout.stream_raw,
+            f"{options.root}/checkpoints/validate",
+        ).awaitTermination()
+    if options.stage == "stream-load":
+        feed.load_stream(
+            spark,
+            feed.stream_enriched(spark, layout.stream_raw),
+            layout.warehouse,
+            f"{options.root}/checkpoints/load",
+            daily=layout.stream_daily,
+        ).awaitTermination()
     if options.stage in ("publish", "all"):
         batch.publish(tables(), layout, options.num_events, options.seed)
     if options.stage in ("validate", "all"):
-        batch.validate(spark, layout, keep_extra=options.keep_extra)
+        batch.validate(spark, layout)
     if options.stage in ("load", "all"):
         counts = batch.load(spark, layout)
         print(f"rows read: {counts['enriched']}, rows after cleaning: {counts['warehouse']}")
     if options.stage in ("model", "all"):
         batch.model(spark, layout)
+    if options.stage in ("test", "all"):
+        batch.run_tests(spark, layout)
 
 
 if __name__ == "__main__":

@@ -82,25 +82,23 @@ def _with_extra_fields(document: Column, line: Column) -> Column:
     fields = F.from_json(line, "map<string,variant>")
     extra = F.map_filter(fields, lambda name, _: ~name.isin(S.ENRICHED.names))
     opened = F.left(document, F.length(document) - 1)
+    more = F.size(F.array_except(F.json_object_keys(line), F.lit(S.ENRICHED.names))) > 0
     return F.when(
-        F.size(extra) > 0, F.concat(opened, F.lit(","), F.ltrim(F.to_json(extra), F.lit("{")))
+        more, F.concat(opened, F.lit(","), F.substr(F.to_json(extra), F.lit(2)))
     ).otherwise(document)
 
 
-def routed_lines(
-    checked: DataFrame, run_ts: datetime | None = None, keep_extra: bool = False
-) -> DataFrame:
+def routed_lines(checked: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Both outputs as text with an ``outcome``, ready for one partitioned write.
 
     Valid lines become the enriched order as JSON, rejected lines stay as they came in.
-    One pass over the input serves both, with nothing cached. ``keep_extra`` carries on
-    fields outside the layout, at the price of parsing valid lines a second time.
+    One pass over the input serves both, with nothing cached. Fields outside the layout are
+    carried on; only a line whose field names show some is parsed again as a map.
     """
     opened = checked.select("value", "reject_reason", "order.*")
     enriched = enrich(opened, run_ts)
     document = F.to_json(F.struct(*S.ENRICHED.names), {"ignoreNullFields": "false"})
-    if keep_extra:
-        document = _with_extra_fields(document, F.col("value"))
+    document = _with_extra_fields(document, F.col("value"))
     accepted = F.col("reject_reason").isNull()
     return enriched.select(
         F.when(accepted, document).otherwise(F.col("value")).alias("value"),

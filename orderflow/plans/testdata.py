@@ -40,13 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan alone would leave most of them idle.
+    """Rows in even shares over the shuffle partitions.
 
-    The generated files have one row group each, so their scan is one task however many
-    rows it holds. A scan with enough splits of its own is left alone.
+    The generated files have one row group each, so a scan is one task however many rows it
+    holds, and what follows here is heavy for each row.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.hint("rebalance")
 
 
 def _text(name: str) -> Column:

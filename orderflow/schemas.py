@@ -7,6 +7,7 @@ def _strings(*names):
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# The column layouts of the source tables.
 ITEMS = T.StructType(
     _strings("order_id")
     + [T.StructField("order_item_id", T.IntegerType())]
@@ -34,7 +35,7 @@ SOURCE_TABLES = {
     "categories": CATEGORIES,
 }
 
-# One order line as it travels in a JSON message.
+# One order line as it travels in a JSON message.
 MESSAGE = T.StructType(
     _strings("order_id", "customer_id", "product_id", "product_category")
     + [
@@ -50,6 +51,7 @@ ENRICHED = T.StructType(MESSAGE.fields + _strings("processed_at", "value_tier"))
 # Every enriched field as text: the typing step decides what a bad number becomes.
 ENRICHED_TEXT = T.StructType(_strings(*ENRICHED.names))
 
+# The key of a line, fields a message needs, fields a stored line needs.
 LINE_KEY = ["order_id", "product_id"]
 REQUIRED = ["order_id", "customer_id", "product_id", "amount", "status"]
 CRITICAL = ["order_id", "customer_id", "amount"]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderflow import schemas as S
+from orderflow.functions.order_json import is_document
 from orderflow.operators.clean import typed, warehouse_rows
 from orderflow.operators.validate import VALID, check, routed_lines
 from orderflow.plans.marts import agg_sales_daily, stg_orders
@@ -28,7 +29,7 @@ def one_line(message: Column) -> Column:
     broken = message.rlike("[\\r\\n]")
     blanks = F.regexp_replace(message, "[\\r\\n]+", " ")
     escaped = F.replace(F.replace(message, F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
-    whole = F.try_parse_json(message).isNotNull()
+    whole = is_document(message)
     return F.when(broken & whole, blanks).when(broken, escaped).otherwise(message)
 
 
@@ -49,7 +50,6 @@ def validate_stream(
     path: str,
     checkpoint: str,
     run_ts: datetime | None = None,
-    keep_extra: bool = False,
 ) -> StreamingQuery:
     """Split new lines into valid orders and dead letters under ``path``.
 
@@ -57,7 +57,7 @@ def validate_stream(
     crash leaves no duplicates; read the folder itself and filter on ``outcome``.
     """
     return (
-        routed_lines(check(lines), run_ts, keep_extra)
+        routed_lines(check(lines), run_ts)
         .writeStream.format("text")
         .partitionBy("outcome")
         .option("path", path)
