@@ -17,7 +17,7 @@ from orderflow.llm.common import chunks, hashed_words, mixed, text_bytes, writte
 #: Words whose ids a worker remembers before it starts anew.
 _REMEMBERED = 1_500_000
 #: Bytes of text whose words are looked up together.
-_BYTES_AT_ONCE = 3_000_000
+_BYTES_AT_ONCE = 1_000_000
 #: Terms of a seed that are looked up in the index.
 _QUERY_TERMS = 12
 #: Neighbours looked at together when a window is filled.
