@@ -114,22 +114,28 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float)
     """Per bucket the log of its share in trusted documents over its share in all.
 
     Two multinomials over the n-grams of all documents. The trusted one starts from ``prior``
-    n-grams spread as in all documents, so that few trusted documents move it little. No more
-    numbers than buckets reach the driver. Without trusted text all ratios are 0.
+    times its own number of n-grams, spread as in all documents, so a corpus repeated gives the
+    same ratios. No more numbers than buckets reach the driver. Without trusted text all ratios
+    are 0, as are those of buckets that no document has.
     """
     ids = trusted.select("doc_id").distinct().withColumn("is_trusted", F.lit(1))
     marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
     counts = _ngram_rows(marked, buckets).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("is_trusted").alias("target"))
-    raw, target = [1.0] * buckets, [0.0] * buckets
+    raw, target = [0.0] * buckets, [0.0] * buckets
     for row in counts.toLocalIterator():
         raw[row.bucket] += row.raw
         target[row.bucket] += row.target
     all_raw, all_target = sum(raw), sum(target)
-    return [log((t * all_raw / r + prior) / (all_target + prior)) for t, r in zip(target, raw, strict=True)]
+    if not all_target:
+        return [0.0] * buckets
+    return [
+        log((t * all_raw / (r * all_target) + prior) / (1 + prior)) if r else 0.0
+        for t, r in zip(target, raw, strict=True)
+    ]
 
 
 def score(
-    docs: DataFrame, trusted: DataFrame, buckets: int = 10_000, least: float = -0.05, prior: float = 500_000.0
+    docs: DataFrame, trusted: DataFrame, buckets: int = 10_000, least: float = -0.05, prior: float = 0.2
 ) -> DataFrame:
     """Documents with rule counts, the log-likelihood ratio a token and the verdict.
 
@@ -137,7 +143,8 @@ def score(
     pairs of neighbouring words, hashed to ``buckets``) adds the log of its share in trusted text
     over its share in all text; the mean over a document's n-grams is ``ratio``. Documents with
     ``ratio`` of ``least`` or more are kept, unless a base rule fails them. The weights are one
-    number a bucket, whatever the input's size.
+    number a bucket, whatever the input's size. ``prior`` is a share of the trusted n-grams, so
+    verdicts depend on what the texts are and not on how many there are.
 
     Null and empty texts have no words, ratio 0, and fail the base rules. Repeated rows are
     scored alike. No documents give no rows. Extra columns are kept; those named like a result
