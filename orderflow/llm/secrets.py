@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -62,10 +63,12 @@ def in_order(spans: list[Span]) -> list[Span]:
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_PERCENT_RUN = re.compile(r"(?<![^\s\"'<>])[^\s\"'<>%]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
-_ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_ESCAPE_RUN = re.compile(r"(?<!\S)[^\s\\]*\\[uUx][^\s]*")
+_PERCENT = r"(?P<percent>(?:%[0-9A-Fa-f]{2})+)"
+_ESCAPE = r"\\(?:u\{(?P<braced>[0-9A-Fa-f]{1,6})\}|u(?P<four>[0-9A-Fa-f]{4})|U(?P<eight>[0-9A-Fa-f]{8})|x(?P<two>[0-9A-Fa-f]{2}))"
+_ENCODED = re.compile(f"{_PERCENT}|{_ESCAPE}")
+#: With the one-character escapes of JSON strings, which a path or a pattern may hold unescaped.
+_ENCODED_IN_JSON = re.compile(f"{_PERCENT}|{_ESCAPE}" + r"""|\\(?P<simple>["'\\/bfnrt])""")
+_SIMPLE = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t"}
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -76,52 +79,80 @@ class _Layer:
         self.text, self.place = text, place
 
 
-def _replaced(run: str, pattern: re.Pattern, decode: Callable[[re.Match], list[tuple[str, int, int]]]) -> tuple[str, list[int], list[int]]:
-    """The run with each match decoded, and each character's first and after-last place in the run."""
-    out, begins, ends, at = [], [], [], 0
-    for m in pattern.finditer(run):
-        for i in range(at, m.start()):
-            out.append(run[i]), begins.append(i), ends.append(i + 1)
-        for char, begin, end in decode(m):
-            out.append(char), begins.append(begin), ends.append(end)
+class _Places:
+    """Where each character of a decoded text begins and ends in the text before: runs left as they are, or one decoded character."""
+
+    def __init__(self) -> None:
+        self.parts: list[str] = []
+        self.size = 0
+        self.outs: list[int] = []
+        self.begins: list[int] = []
+        self.ends: list[int | None] = []
+
+    def add(self, part: str, begin: int, end: int | None = None) -> None:
+        """A run from ``begin`` on, or a character that stands for ``begin`` to ``end``."""
+        if part:
+            self.parts.append(part)
+            self.outs.append(self.size)
+            self.begins.append(begin)
+            self.ends.append(end)
+            self.size += len(part)
+
+    def place(self, a: int, b: int) -> tuple[int, int]:
+        i, j = bisect_right(self.outs, a) - 1, bisect_right(self.outs, b - 1) - 1
+        begin, end = self.begins[i], self.ends[j]
+        if self.ends[i] is None:
+            begin += a - self.outs[i]
+        return begin, self.begins[j] + b - self.outs[j] if end is None else end
+
+
+def _decoded(text: str, pattern: re.Pattern) -> tuple[str, _Places]:
+    """The whole text with each match decoded, and where its characters come from."""
+    places, at = _Places(), 0
+    for m in pattern.finditer(text):
+        places.add(text[at : m.start()], at)
+        if m["percent"]:
+            _add_percent(places, m[0], m.start())
+        else:
+            places.add(_escaped_char(m), m.start(), m.end())
         at = m.end()
-    for i in range(at, len(run)):
-        out.append(run[i]), begins.append(i), ends.append(i + 1)
-    return "".join(out), begins, ends
+    places.add(text[at:], at)
+    return "".join(places.parts), places
 
 
-def _percent_chars(m: re.Match) -> list[tuple[str, int, int]]:
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    chars, at = [], m.start()
-    for char in raw.decode("utf-8", "replace"):
-        size = len(char.encode()) if char != "\ufffd" else 1
-        chars.append((char, at, at + 3 * size))
-        at += 3 * size
-    return chars
+def _add_percent(places: _Places, run: str, at: int) -> None:
+    for char in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        # A byte that is no UTF-8 stands alone.
+        odd = "\udc80" <= char <= "\udcff"
+        end = at + 3 * (1 if odd else len(char.encode()))
+        places.add("\ufffd" if odd else char, at, end)
+        at = end
 
 
-def _escaped_char(m: re.Match) -> list[tuple[str, int, int]]:
-    code = int(next(g for g in m.groups() if g), 16)
-    char = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
-    return [(char, m.start(), m.end())]
+def _escaped_char(m: re.Match) -> str:
+    groups = m.groupdict()
+    if groups.get("simple"):
+        return _SIMPLE.get(m["simple"], m["simple"])
+    code = int(m["braced"] or m["four"] or m["eight"] or m["two"], 16)
+    return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
 
 
-def _by_places(begins: list[int], ends: list[int], first: int, outer: Map) -> Map:
-    return lambda a, b: outer(first + begins[a], first + ends[b - 1])
+def _within(places: _Places, outer: Map) -> Map:
+    return lambda a, b: outer(*places.place(a, b))
 
 
 def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map] | tuple[bytes, Map]]:
-    """What encoded runs of a text hold: texts, or bytes of which base64 runs are made."""
+    """What a text holds encoded: the whole text decoded once, and bytes of which base64 runs are made."""
     text, outer = layer.text, layer.place
-    if "%" in text:
-        for m in _PERCENT_RUN.finditer(text):
-            inner, begins, ends = _replaced(m[0], _PERCENT, _percent_chars)
-            yield inner, _by_places(begins, ends, m.start(), outer)
-    if "\\" in text:
-        for m in _ESCAPE_RUN.finditer(text):
-            if _ESCAPES.search(m[0]):
-                inner, begins, ends = _replaced(m[0], _ESCAPES, _escaped_char)
-                yield inner, _by_places(begins, ends, m.start(), outer)
+    if "%" in text or "\\" in text:
+        plain = None
+        if _ENCODED.search(text):
+            plain, places = _decoded(text, _ENCODED)
+            yield plain, _within(places, outer)
+        if "\\" in text:
+            inner, places = _decoded(text, _ENCODED_IN_JSON)
+            if inner not in (text, plain):
+                yield inner, _within(places, outer)
     if _LONG in text.encode("ascii", "replace").translate(_BASE64_CLASS):
         for m in _BASE64.finditer(text):
             run = m[0].rstrip("=")
@@ -178,10 +209,12 @@ def _text_of(raw: bytes, place: Map) -> _Layer | None:
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """The spans of the text as it stands, and all spans with those of what it wraps.
 
-    A worklist starts with the text. Each layer is scanned, and every encoded run in it gives a
-    further layer: percent signs, Unicode escapes, base64, and gzip or zlib within base64. A
-    layer whose content was met at the same place before is left, so cycles end. Spans found
-    inside are mapped to the run's characters that hold them; in compressed data to the run.
+    A worklist starts with the text. Each layer is scanned and gives further layers: the whole of
+    it with its percent signs and Unicode escapes decoded at once (and again with the escapes of
+    JSON strings), so that keys and values in different encodings meet; and of each base64 run
+    what it holds, gzip or zlib opened. A layer whose content was met at the same place before is
+    left, so cycles end. Spans found inside are mapped to the characters that hold them; in
+    compressed data to the run.
     """
     base = base_spans(text)
     found = set(base)

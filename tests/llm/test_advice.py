@@ -2,11 +2,12 @@
 
 import re
 from math import log
+from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import quality
+from orderflow.llm import quality, secrets
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,3 +46,37 @@ def test_quality_does_not_depend_on_how_often_the_corpus_comes(spark, docs):
     # Bad documents of a small corpus are found, and none of the trusted ones goes.
     assert not any(once[r.doc_id].kept for r in labels.filter("quality = 0").collect())
     assert all(once[k].kept for k in ids if not once[k].base_failed)
+
+
+def _escaped(text):
+    return "".join("\\u%04x" % ord(c) for c in text)
+
+
+SECRET = "hunter2hunter2hunter2"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"payload":"{\\"password\\":\\"%s\\"}"}' % _escaped(SECRET),
+        "C:\\dir\\u0070assword=" + SECRET,
+        '{"password": "%s"}' % _escaped(SECRET),
+        'password="%s"' % SECRET.replace("2", "%32"),
+        "<a href='x?pass%%77ord=%s'>" % SECRET.replace("2", "\\x32"),
+        quote('{"password": "%s"}' % _escaped(SECRET)),
+        "\\token=" + _escaped(SECRET),
+    ],
+)
+def test_secrets_key_and_value_meet_over_the_whole_text(text):
+    before = "é 😀 50%25 C:\\new "
+    base, spans = secrets.all_spans(before + text + " end")
+    assert set(base) <= set(spans)
+    key = min(m.start() for m in re.finditer("pass|token|.u0070|%7B", before + text))
+    # The value's last character is the last encoded or plain one of the secret.
+    assert any(k == "assign" and b <= key + 40 and e - b > 24 and b >= key for k, b, e in spans)
+
+
+def test_secrets_places_are_those_of_the_characters():
+    text = "x%C3%A9 %FF 50%25 password: " + _escaped(SECRET) + ";"
+    begin = text.index("password")
+    assert ("assign", begin, len(text) - 1) in secrets.all_spans(text)[1]
