@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,24 +56,25 @@ def mix(
     max_repeats: int = 2,
     weight: Column | None = None,
     seed: int = 17,
-    top_ups: int = 5,
 ) -> DataFrame:
     """Documents with how often the mix takes each: size, source_size, target, copies, taken.
 
     A document's expected number of copies is its source's target over its source's size, times
     its weight over the source's mean weight, at most ``max_repeats``. The whole part is certain.
     For the rest each source is sampled: documents are ranked by the odds of a random number over
-    the odds of their remaining expectation, and taken in that order while the source's remaining
-    words last. What the first document beyond leaves open is filled by up to ``top_ups`` single
-    documents, each the largest that still fits.
+    the odds of their remaining expectation, and taken in that order if they fit what is left of
+    the source's words: a pass goes on until a document exceeds what is left, the largest document
+    that still fits is added, and the next pass goes on among those that fit, until none does.
+    Each pass at least halves what is open, so there are few.
 
-    The cut of a source is found on sums over 256 ranges of the rank, then over 256 parts of the
+    The cut of a pass is found on sums over 256 ranges of the rank, then over 256 parts of the
     range that holds it, and so on, so no task sorts a source. Only numbers are shuffled; texts
     are scanned once more to attach the decision, which depends on nothing but the row and its
-    source's cut.
+    source's passes.
 
-    The random number comes from seed, doc_id and source: reruns agree, and repeated rows of one
-    document stand or fall together. Null or empty texts have size 0 and are taken or not without
+    The random number comes from seed, doc_id, source, text and weight, and the number of the
+    row among those with all these equal, so reruns agree on how often each is taken. Which of
+    equal rows are taken may differ in their extra columns. Null or empty texts have size 0 and are taken or not without
     effect. Null sources form a source, the last. No documents give no rows. Extra columns are
     kept; columns named size, source_size, target, copies or taken are replaced.
     """
@@ -82,9 +85,8 @@ def mix(
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
         F.greatest(F.coalesce((F.lit(1.0) if weight is None else weight).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("weight"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source")).alias("draw"),
-    )
-    rows = written(wide.drop("doc"), "mix-rows")
+    ).withColumn("draw", F.xxhash64(F.lit(seed), "doc.doc_id", "source", "doc.text", "weight"))
+    wide, rows = _drawn_apart(wide, written(wide.drop("doc"), "mix-rows"))
     sources = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("weight")).alias("weighted")
     )
@@ -113,23 +115,21 @@ def mix(
         rates.select("source_no", "target"), "source_no"
     ).select("source_no", (F.col("target") - F.col("certain_words")).alias("budget"))
     open_units = units.filter("open").select("source_no", "rank_key", "words")
-    cuts = written(_cuts(open_units, budgets), "mix-cuts")
-    added = _top_ups(open_units, cuts, top_ups)
-    picks = rates.join(cuts.drop("gap"), "source_no", "left")
-    if added is not None:
-        picks = picks.join(
-            added.groupBy("source_no").agg(F.sort_array(F.collect_list("rank_key")).alias("added")),
-            "source_no",
-            "left",
-        )
-    else:
-        picks = picks.withColumn("added", F.array().cast("array<long>"))
+    passes, added = _passes(open_units, budgets)
+    picks = rates.join(
+        passes.groupBy("source_no").agg(F.collect_list(F.struct("low", "high", "most")).alias("passes")), "source_no", "left"
+    ).join(
+        added.groupBy("source_no").agg(F.sort_array(F.collect_list("rank_key")).alias("added")), "source_no", "left"
+    )
 
     # Stored, so that a table of few sources is seen to be small and the texts need no shuffle.
     picks = written(picks, "mix-picks")
+    passed = F.exists(
+        "passes",
+        lambda p: (F.col("rank_key") > p["low"]) & (F.col("rank_key") <= p["high"]) & (F.col("size") <= p["most"]),
+    )
     sampled = F.col("open") & (
-        (F.col("rank_key") <= F.coalesce("cut", F.lit(-1)))
-        | F.coalesce(F.array_contains("added", F.col("rank_key")), F.lit(False))
+        F.coalesce(passed, F.lit(False)) | F.coalesce(F.array_contains("added", F.col("rank_key")), F.lit(False))
     )
     copies = F.col("certain") + sampled.cast("long")
     return _ranked(wide, picks, max_repeats).select(
@@ -142,6 +142,34 @@ def mix(
     )
 
 
+def _drawn_apart(wide: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with a draw of its own for each of several rows with the same one."""
+    shared = written(rows.groupBy("draw").agg(F.count("*").alias("n_rows")).filter("n_rows > 1"), "mix-shared")
+    if shared.isEmpty():
+        return wide, rows
+    # Equal rows are numbered by slices of some thousand, so that many of them are not in one task.
+    slices = 1 + F.floor(F.col("n_rows") / 5_000)
+    again = written(
+        wide.join(shared, "draw").withColumn("slice", F.floor(F.rand(1) * slices)).drop("n_rows"), "mix-again"
+    )
+    sizes = again.groupBy("draw", "slice").agg(F.count("*").alias("n_rows"))
+    before = Window.partitionBy("draw").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("draw", "slice", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("first"))
+    number = F.row_number().over(Window.partitionBy("draw", "slice").orderBy(F.lit(0)))
+    apart = written(
+        again.withColumn("number", number)
+        .join(firsts, ["draw", "slice"])
+        .withColumn("draw", F.xxhash64("draw", F.col("first") + F.col("number")))
+        .select(*wide.columns),
+        "mix-apart",
+    )
+    single = shared.select("draw")
+    return (
+        wide.join(single, "draw", "left_anti").select(*wide.columns).unionByName(apart),
+        rows.join(single, "draw", "left_anti").select(*rows.columns).unionByName(apart.drop("doc")),
+    )
+
+
 def _ranked(rows: DataFrame, rates: DataFrame, max_repeats: int) -> DataFrame:
     """Rows with the certain copies, whether a further one is open, and the rank for it."""
     uniform = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
@@ -228,22 +256,44 @@ def _inside(units: DataFrame, state: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _top_ups(units: DataFrame, cuts: DataFrame, rounds: int) -> DataFrame | None:
-    """Single units beyond the cut, each the largest that fits what is still open."""
-    chosen, gaps = None, cuts
-    for _ in range(rounds):
-        free = units.join(gaps, "source_no").filter("rank_key > cut AND words > 0 AND words <= gap")
-        if chosen is not None:
-            free = free.join(chosen, ["source_no", "rank_key"], "left_anti")
+def _passes(units: DataFrame, budgets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a walk by rank takes that passes over units which do not fit.
+
+    Passes (source_no, low, high, most): units with ranks above low, up to high, of at most that
+    many words. And single units added after a pass, the largest that fit then. A unit that does
+    not fit once never will, so each pass has to look only beyond the one before.
+    """
+    state = budgets.select("source_no", F.lit(-1).cast("long").alias("cut"), F.col("budget").alias("gap"))
+    rest = units.filter("words > 0")
+    passes, added = [], []
+    while True:
+        fitting = written(
+            rest.join(state, "source_no").filter("rank_key > cut AND words <= gap").select("source_no", "rank_key", "words"),
+            "mix-fitting",
+        )
+        if passes and fitting.isEmpty():
+            break
+        open_sources = state.join(fitting.select("source_no").distinct(), "source_no", "left_semi")
+        cuts = written(_cuts(fitting, open_sources.select("source_no", F.col("gap").alias("budget"))), "mix-cuts")
+        passes.append(
+            open_sources.alias("s").join(cuts.alias("c"), "source_no").select(
+                "source_no", F.col("s.cut").alias("low"), F.col("c.cut").alias("high"), F.col("s.gap").alias("most")
+            )
+        )
         best = written(
-            free.groupBy("source_no").agg(
-                F.max(F.struct("words", (-F.col("rank_key")).alias("before"))).alias("best")
-            ).select("source_no", (-F.col("best.before")).alias("rank_key"), F.col("best.words").alias("words")),
-            "mix-top-up",
+            fitting.join(cuts, "source_no")
+            .filter("rank_key > cut AND words <= gap")
+            .groupBy("source_no")
+            .agg(F.max(F.struct("words", (-F.col("rank_key")).alias("before"))).alias("best"))
+            .select("source_no", (-F.col("best.before")).alias("rank_key"), F.col("best.words").alias("words")),
+            "mix-added",
         )
-        gaps = gaps.join(best.select("source_no", "words"), "source_no", "left").select(
-            "source_no", "cut", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap")
+        added.append(best.select("source_no", "rank_key"))
+        state = written(
+            cuts.join(best.select("source_no", "words"), "source_no", "left").select(
+                "source_no", "cut", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap")
+            ),
+            "mix-state",
         )
-        picked = best.select("source_no", "rank_key")
-        chosen = picked if chosen is None else chosen.unionByName(picked)
-    return chosen
+        rest = fitting.join(added[-1], ["source_no", "rank_key"], "left_anti")
+    return reduce(DataFrame.unionByName, passes), reduce(DataFrame.unionByName, added)

@@ -7,7 +7,7 @@ from urllib.parse import quote
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import quality, secrets
+from orderflow.llm import mixing, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,3 +80,24 @@ def test_secrets_places_are_those_of_the_characters():
     text = "x%C3%A9 %FF 50%25 password: " + _escaped(SECRET) + ";"
     begin = text.index("password")
     assert ("assign", begin, len(text) - 1) in secrets.all_spans(text)[1]
+
+
+MIX = "doc_id long, text string, source string, n long"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mix_passes_over_a_dominating_document(spark, seed):
+    rows = [(k, "w " * 500, "a", k) for k in range(1000)] + [(1000, "w " * 300_000, "a", 0)]
+    taken = mixing.mix(spark.createDataFrame(rows, MIX), total_ratio=0.3, seed=seed).agg(F.sum("taken"), F.first("target")).first()
+    assert 0.99 * taken[1] < taken[0] <= taken[1]
+
+
+def test_mix_draws_repeated_rows_apart(spark):
+    rows = [(None, f"x {k} " * 50, "a", k) for k in range(300)] + [(7, "w " * 100, "a", k) for k in range(300)]
+    table = spark.createDataFrame(rows, MIX)
+    found = mixing.mix(table, total_ratio=0.5).toPandas()
+    assert len(found) == 600 and set(found["n"]) == set(range(300))
+    assert 0.99 * found["target"].iloc[0] < found["taken"].sum() <= found["target"].iloc[0]
+    assert 100 < found[found["doc_id"] == 7]["copies"].sum() < 200
+    again = mixing.mix(table.repartition(5), total_ratio=0.5).toPandas()
+    assert sorted(found.groupby("text")["copies"].sum()) == sorted(again.groupby("text")["copies"].sum())
