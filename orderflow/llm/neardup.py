@@ -228,8 +228,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     bucket of a band, the node that meets most others overall is the centre, and the others'
     overlap with it is computed from the texts. Nodes that overlap by 0.4 or more are a group;
     the members that the links found so far leave outside a group's largest class are compared
-    with the whole group, in blocks, by signature and then by overlap. A text pair that overlaps by 0.8 shares a band with
-    probability 0.99995.
+    with the whole group, in blocks, by signature and then by overlap. Members of a bucket that
+    are not linked to its centre and lie in different groups are compared with each other in the
+    same way, so every pair that shares a band is decided. A text pair that overlaps by 0.8 shares
+    a band with probability 0.99995.
 
     Null and empty texts, and those without words, are classes of their own. Rows with the same
     doc_id and text are one document twice; a null doc_id never names a class unless there is no
@@ -265,7 +267,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     links = found.filter(F.col("similarity") >= least).select("a", "b")
     first = written(components(links), "first-classes")
     groups = written(components(found.filter(F.col("similarity") >= min(_SAME_GROUP, least)).select("a", "b")), "groups")
-    links = links.unionByName(_links_in_groups(bag_rows, groups, first, least))
+    links = written(links.unionByName(_links_in_groups(bag_rows, groups, first, least)), "links")
+    second = written(components(links), "second-classes")
+    rests = _rests_of_buckets(ranked, centres, found.filter(F.col("similarity") >= least), groups, second)
+    links = links.unionByName(_links_in_groups(bag_rows, rests, second, least))
     classes = written(components(links), "classes")
 
     named = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -276,6 +281,45 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     )
 
 
+def _rests_of_buckets(
+    ranked: DataFrame, centres: DataFrame, linked: DataFrame, groups: DataFrame, classes: DataFrame
+) -> DataFrame:
+    """(node, root): the members of each bucket that its centre is not linked to, as a group.
+
+    Left out are buckets whose rest lies in one group or one class, which is decided, and all but
+    one of those with the same rest.
+    """
+    group = groups.select("node", F.col("root").alias("grp"))
+    cls = classes.select("node", F.col("root").alias("cls"))
+    rest = written(
+        ranked.join(centres, ["band", "value"])
+        .filter("a <> node")
+        .join(linked.select("a", F.col("b").alias("node")), ["a", "node"], "left_anti")
+        .join(group, "node", "left")
+        .join(cls, "node", "left")
+        .select(
+            "node",
+            F.xxhash64("band", "value").alias("root"),
+            F.coalesce("grp", "node").alias("grp"),
+            F.coalesce("cls", "node").alias("cls"),
+        ),
+        "bucket-rests",
+    )
+    members = F.struct(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other"),
+    )
+    undecided = (
+        rest.groupBy("root")
+        .agg(members.alias("members"), F.min("grp").alias("g"), F.max("grp").alias("h"), F.min("cls").alias("c"), F.max("cls").alias("d"))
+        .filter("g <> h AND c <> d")
+        .groupBy("members")
+        .agg(F.min("root").alias("root"))
+    )
+    return written(rest.join(undecided.select("root"), "root", "left_semi").select("node", "root"), "undecided-rests")
+
+
 def _links_in_groups(bag_rows: DataFrame, groups: DataFrame, first: DataFrame, least: float) -> DataFrame:
     """Links that the centres missed: members outside a group's largest class against its members."""
     members = written(

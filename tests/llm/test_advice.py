@@ -7,7 +7,7 @@ from urllib.parse import quote
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import mixing, quality, secrets
+from orderflow.llm import mixing, neardup, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,3 +101,14 @@ def test_mix_draws_repeated_rows_apart(spark):
     assert 100 < found[found["doc_id"] == 7]["copies"].sum() < 200
     again = mixing.mix(table.repartition(5), total_ratio=0.5).toPandas()
     assert sorted(found.groupby("text")["copies"].sum()) == sorted(again.groupby("text")["copies"].sum())
+
+
+def test_near_duplicates_compares_all_of_a_bucket(spark, monkeypatch):
+    """All texts share all bands, so one of them is the centre of every bucket and unlike the others."""
+    signed = neardup.signed
+    same = F.transform("bands", lambda band, k: k.cast("long"))
+    monkeypatch.setattr(neardup, "signed", lambda docs: signed(docs).withColumn("bands", same))
+    texts = [" ".join(f"t{k // 2}w{j}" for j in range(100)) + (" end" if k % 2 else "") for k in range(12)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(table).collect()}
+    assert found == {k: k // 2 * 2 for k in range(12)}
