@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -70,6 +70,15 @@ _ENCODED = re.compile(f"{_PERCENT}|{_ESCAPE}")
 _ENCODED_IN_JSON = re.compile(f"{_PERCENT}|{_ESCAPE}" + r"""|\\(?P<simple>["'\\/bfnrt])""")
 _SIMPLE = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t"}
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 over several lines; the first and the last may be short.
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?={0,2}"
+)
+_IN_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_SEPARATOR = re.compile(r"[+/_-]")
+#: What can hold a secret or a further layer: nothing shorter than 16 ASCII characters does.
+_ASCII = re.compile(rb"[\x20-\x7e\t\r\n]{16,}")
+_UTF16 = {"utf-16-le": re.compile(rb"(?:[\x20-\x7e\t\r\n]\x00){16,}"), "utf-16-be": re.compile(rb"(?:\x00[\x20-\x7e\t\r\n]){16,}")}
 
 
 class _Layer:
@@ -141,31 +150,42 @@ def _within(places: _Places, outer: Map) -> Map:
     return lambda a, b: outer(*places.place(a, b))
 
 
-def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map] | tuple[bytes, Map]]:
+def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map, set[int]] | tuple[bytes, Map, set[int]]]:
     """What a text holds encoded: the whole text decoded once, and bytes of which base64 runs are made."""
     text, outer = layer.text, layer.place
     if "%" in text or "\\" in text:
         plain = None
         if _ENCODED.search(text):
             plain, places = _decoded(text, _ENCODED)
-            yield plain, _within(places, outer)
+            yield plain, _within(places, outer), set()
         if "\\" in text:
             inner, places = _decoded(text, _ENCODED_IN_JSON)
             if inner not in (text, plain):
-                yield inner, _within(places, outer)
+                yield inner, _within(places, outer), set()
     if _LONG in text.encode("ascii", "replace").translate(_BASE64_CLASS):
-        for m in _BASE64.finditer(text):
-            run = m[0].rstrip("=")
+        for m in chain(_BASE64.finditer(text), _WRAPPED.finditer(text)):
+            places = _Places()
+            for line in _IN_LINE.finditer(text, m.start(), m.end()):
+                places.add(line[0], line.start())
+            run = "".join(places.parts)
             # Text in base64 has letters of both cases; a word or a number has not.
-            if run.islower() or run.isupper() or run.isdigit() or run.capitalize() == run or len(run) % 4 == 1:
-                continue
-            try:
-                raw = base64.b64decode(
-                    run.translate(_PLAIN_ALPHABET) + "=" * (-len(run) % 4), validate=True
-                )
-            except binascii.Error:
+            if run.islower() or run.isupper() or run.isdigit() or run.capitalize() == run:
                 continue
-            yield raw, _by_groups(m.start(), m.end(), outer)
+            plain = run.translate(_PLAIN_ALPHABET)
+            # Behind a word glued to it, a run may begin at any of four places.
+            for first in range(4):
+                size = len(run) - first
+                size -= size % 4 == 1
+                raw = base64.b64decode(plain[first : first + size] + "=" * (-size % 4))
+                starts = {0, *(p // 4 * 3 for p in _after_separators(run, places, first))}
+                yield raw, _by_groups(first, len(run), _within(places, outer)), starts
+
+
+def _after_separators(run: str, places: _Places, first: int) -> Iterator[int]:
+    """Places in a run, from ``first`` on, behind a separator or a line end, where whole groups begin."""
+    for at in chain((m.end() for m in _SEPARATOR.finditer(run)), places.outs):
+        if at > first and (at - first) % 4 == 0:
+            yield at - first
 
 
 _PLAIN_ALPHABET = str.maketrans("-_", "+/")
@@ -180,34 +200,89 @@ def _by_groups(first: int, last: int, outer: Map) -> Map:
     return place
 
 
-def _inflated(raw: bytes, most: int) -> bytes | None:
-    """What a gzip or zlib stream holds."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 1 and int.from_bytes(raw[:2], "big") % 31 == 0:
+_GZIP = b"\x1f\x8b\x08"
+
+
+def _is_packed(raw: bytes) -> bool:
+    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 1 and int.from_bytes(raw[:2], "big") % 31 == 0
+
+
+def _inflated(raw: bytes, most: int) -> tuple[bytes | None, bool]:
+    """What a gzip stream of any number of members or a zlib stream holds, and whether ``most`` cut it.
+
+    Of a damaged stream what comes before the damage.
+    """
+    if not _is_packed(raw):
+        return None, False
+    out, size = [], 0
+    while raw and _is_packed(raw) and size < most:
+        stream, left = zlib.decompressobj(zlib.MAX_WBITS | 32), raw
         try:
-            return zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(raw, most)
+            while not stream.eof and size < most:
+                piece = stream.decompress(left, min(1 << 16, most - size))
+                if not piece and not stream.unconsumed_tail:
+                    break
+                out.append(piece)
+                size += len(piece)
+                left = stream.unconsumed_tail
         except zlib.error:
-            return None
-    return None
-
-
-def _text_of(raw: bytes, place: Map) -> _Layer | None:
-    """Bytes as text with the places of its characters, if nearly all of it can be read."""
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    if sum(c.isprintable() or c in "\t\n\r" for c in text) < 0.9 * len(text):
-        return None
-    if len(text) == len(raw):
-        return _Layer(text, place)
-    starts = [0]
-    for char in text:
-        starts.append(starts[-1] + len(char.encode()))
-    return _Layer(text, lambda a, b: place(starts[a], starts[b]))
+            break
+        if not stream.eof:
+            break
+        raw = stream.unused_data
+    return (b"".join(out) or None), size >= most
+
+
+def _texts_of(raw: bytes, place: Map) -> Iterator[_Layer]:
+    """Bytes as texts with the places of their characters: UTF-8, else byte by byte, and UTF-16."""
+    if _ASCII.search(raw):
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = raw.decode("latin-1")
+        if len(text) == len(raw):
+            yield _Layer(text, place)
+        else:
+            starts = [0]
+            for char in text:
+                starts.append(starts[-1] + len(char.encode()))
+            yield _Layer(text, lambda a, b: place(starts[a], starts[b]))
+    for name, pattern in _UTF16.items():
+        for m in pattern.finditer(raw):
+            begin = m.start()
+            yield _Layer(m[0].decode(name), lambda a, b, begin=begin: place(begin + 2 * a, begin + 2 * b))
+
+
+def _layers(inner: bytes, place: Map, starts: set[int], left: int) -> Iterator[tuple[_Layer, bool]]:
+    """Texts of bytes and of the compressed streams in them, and whether a stream was cut."""
+    for new in _texts_of(inner, place):
+        yield new, False
+    at = inner.find(_GZIP)
+    while at >= 0:
+        starts = starts | {at}
+        at = inner.find(_GZIP, at + 1)
+    for start in sorted(starts):
+        unpacked, cut = _inflated(inner[start:], left)
+        if unpacked is None:
+            continue
+        whole = place(start, len(inner))
+        # A stream within a stream, as deep as it goes; one that holds itself has a limit.
+        for _ in range(64):
+            for new in _texts_of(unpacked, lambda a, b, whole=whole: whole):
+                yield new, cut
+            again, cut = _inflated(unpacked, left)
+            if again is None or again == unpacked:
+                break
+            unpacked = again
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """The spans of the text as it stands, and all spans with those of what it wraps.
+    """The spans of the text as it stands, and all spans with those of what it wraps."""
+    return unwrapped_spans(text)[:2]
+
+
+def unwrapped_spans(text: str) -> tuple[list[Span], list[Span], bool]:
+    """The spans of the text as it stands, all spans with those of what it wraps, and whether a limit was met.
 
     A worklist starts with the text. Each layer is scanned and gives further layers: the whole of
     it with its percent signs and Unicode escapes decoded at once (and again with the escapes of
@@ -220,37 +295,29 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     found = set(base)
     work: deque[_Layer] = deque([_Layer(text, lambda a, b: (a, b))])
     seen: set[tuple[bytes, int, int]] = set()
-    left = MOST_UNWRAPPED
+    left, limited = MOST_UNWRAPPED, False
     while work:
         layer = work.popleft()
-        for inner, place in _unwrapped(layer):
+        for inner, place, starts in _unwrapped(layer):
             if isinstance(inner, bytes):
-                whole = place(0, len(inner))
-                unpacked = _inflated(inner, left)
-                while unpacked is not None and _inflated(unpacked, 1) is not None and left > 0:
-                    left -= len(unpacked)
-                    again = _inflated(unpacked, max(left, 1))
-                    if again == unpacked:
-                        break
-                    unpacked = again
-                if unpacked is not None:
-                    inner, place = unpacked, (lambda a, b, whole=whole: whole)
-                new = _text_of(inner, place)
+                made = _layers(inner, place, starts, max(left, 1))
             else:
-                new = _Layer(inner, place) if inner != layer.text else None
-            if new is None or not new.text or len(new.text) > left:
-                continue
-            key = (hashlib.sha256(new.text.encode("utf-8", "surrogatepass")).digest(), *new.place(0, len(new.text)))
-            if key in seen:
-                continue
-            seen.add(key)
-            left -= len(new.text)
-            found.update((kind, *new.place(start, end)) for kind, start, end in base_spans(new.text))
-            work.append(new)
-    return base, in_order(list(found))
+                made = iter([(_Layer(inner, place), False)] if inner != layer.text else [])
+            for new, cut in made:
+                limited = limited or cut or len(new.text) > left
+                if not new.text or len(new.text) > left:
+                    continue
+                key = (hashlib.sha256(new.text.encode("utf-8", "surrogatepass")).digest(), *new.place(0, len(new.text)))
+                if key in seen:
+                    continue
+                seen.add(key)
+                left -= len(new.text)
+                found.update((kind, *new.place(start, end)) for kind, start, end in base_spans(new.text))
+                work.append(new)
+    return base, in_order(list(found)), limited
 
 
-SPANS = "doc_id long, base array<struct<kind: string, begin: long, end: long>>, spans array<struct<kind: string, begin: long, end: long>>"
+SPANS = "doc_id long, base array<struct<kind: string, begin: long, end: long>>, spans array<struct<kind: string, begin: long, end: long>>, limited boolean"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -258,17 +325,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
     Spans are (kind, begin, end) in code points by begin, then kind. Null texts are empty and
     have none. Repeated rows are scanned each. No documents give no rows. Only doc_id and text
-    are read. A text is unwrapped up to ``MOST_UNWRAPPED`` characters in all.
+    are read. A text is unwrapped up to ``MOST_UNWRAPPED`` characters in all;
+    ``limited`` tells whether that left anything out.
     """
 
     def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [all_spans(text or "") for text in batch["text"]]
+            rows = [unwrapped_spans(text or "") for text in batch["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
-                    "base": [_structs(base) for base, _ in rows],
-                    "spans": [_structs(spans) for _, spans in rows],
+                    "base": [_structs(base) for base, _, _ in rows],
+                    "spans": [_structs(spans) for _, spans, _ in rows],
+                    "limited": [limited for _, _, limited in rows],
                 }
             )
 

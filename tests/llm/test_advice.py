@@ -1,6 +1,10 @@
 """Whole jobs of the training-corpus operators: cases that an earlier cut left out."""
 
+import base64
+import gzip
+import random
 import re
+import zlib
 from math import log
 from urllib.parse import quote
 
@@ -112,3 +116,38 @@ def test_near_duplicates_compares_all_of_a_bucket(spark, monkeypatch):
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: r.class_id for r in neardup.near_duplicates(table).collect()}
     assert found == {k: k // 2 * 2 for k in range(12)}
+
+
+_NOISE = "".join(random.Random(4).choices("abcdefgh XYZ123", k=300))
+_INSIDE = f"{_NOISE} password={SECRET} {_NOISE}"
+
+
+def _wrapped(raw, size=64, end="\n"):
+    text = base64.b64encode(raw).decode()
+    return end.join(text[k : k + size] for k in range(0, len(text), size))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        *[_wrapped(_INSIDE[k:].encode()) for k in (0, 7, 20)],
+        _wrapped(_INSIDE.encode(), 76, "\r\n"),
+        _wrapped(gzip.compress(_INSIDE.encode())),
+        _wrapped(zlib.compress(_INSIDE.encode()), 76),
+        *["xY_/-"[:k] + "/" + base64.b64encode(_INSIDE.encode()).decode() for k in range(5)],
+        "path/" + base64.b64encode(zlib.compress(_INSIDE.encode())).decode(),
+        base64.b64encode(b"\xff\xfe\x80" + _INSIDE.encode()).decode(),
+        *[base64.b64encode(_INSIDE.encode(name)).decode() for name in ("utf-16", "utf-16-be")],
+        base64.b64encode(gzip.compress(b"first") + gzip.compress(_INSIDE.encode())).decode(),
+    ],
+)
+def test_secrets_in_base64_of_any_form(text):
+    base, spans = secrets.all_spans(f"é {text} end")
+    assert not base and any(k == "assign" and 2 <= b < e <= 2 + len(text) for k, b, e in spans)
+
+
+def test_secrets_report_the_limit(monkeypatch):
+    text = base64.b64encode(gzip.compress(_INSIDE.encode())).decode()
+    assert secrets.unwrapped_spans(text)[2] is False
+    monkeypatch.setattr(secrets, "MOST_UNWRAPPED", 50)
+    assert secrets.unwrapped_spans(text)[2] is True
