@@ -16,9 +16,6 @@ Template = Callable[[Turns], str]
 
 _OPEN, _CLOSE = "<|im_start|>", "<|im_end|>\n"
 
-#: Turns rendered together at most: beyond, the older half is left out of the prefix.
-MOST_TURNS = 512
-
 PIECES = (
     "conv_id long, turn_no long, role string, formatted string, begin long, end long, "
     "loss array<struct<begin: long, end: long>>, rewrites_history boolean"
@@ -67,9 +64,6 @@ class Prefix:
 
     def add(self, role: str, text: str) -> tuple[str, int, bool]:
         """Render one more turn: what it adds, how much of the output stays, whether less than all."""
-        if len(self.turns) >= MOST_TURNS:
-            self.turns = self.turns[MOST_TURNS // 2 :]
-            self.rendered = self.template(self.turns)
         self.turns.append((role, text))
         after = self.template(self.turns)
         if after.startswith(self.rendered):
@@ -117,9 +111,9 @@ def format_turns(conversations: DataFrame, template: Template = marked_turns) ->
     Turns are ordered by turn (null last), then role and text, so repeated rows stay beside each
     other and count as turns of their own. Null roles and texts are empty; a null conv_id is a
     conversation. No rows give no rows. Extra columns are left out. A task reads its turns in
-    order and holds one conversation's prefix of at most ``MOST_TURNS`` turns at a time, so a
-    conversation may have any number; of longer ones older turns leave the prefix. Rows come
-    out in order of conv_id and turn within each partition.
+    order and holds one conversation at a time. Every prefix is rendered from the first turn on,
+    so time grows with the square of a conversation's length. Rows come out in order of conv_id
+    and turn within each partition.
     """
     turns = conversations.select(
         F.col("conv_id").cast("long"),
@@ -140,7 +134,7 @@ def format_turns(conversations: DataFrame, template: Template = marked_turns) ->
                     current, prefix, number, done = conv, Prefix(template, []), 0, 0
                 before, was = list(prefix.turns), len(prefix.rendered)
                 added, same, rewrites = prefix.add(role, text)
-                # Characters of the output before this turn's span; older turns may have left the prefix.
+                # Characters of the output before this turn's span.
                 begin = done - (was - same) if rewrites else done
                 loss = [(begin + a, begin + b) for a, b in _loss(template, before, role, text, added)]
                 done = begin + len(added)

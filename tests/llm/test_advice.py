@@ -11,7 +11,7 @@ from urllib.parse import quote
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import mixing, neardup, quality, secrets
+from orderflow.llm import chat, mixing, neardup, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -151,3 +151,20 @@ def test_secrets_report_the_limit(monkeypatch):
     assert secrets.unwrapped_spans(text)[2] is False
     monkeypatch.setattr(secrets, "MOST_UNWRAPPED", 50)
     assert secrets.unwrapped_spans(text)[2] is True
+
+
+def test_chat_renders_long_conversations_from_the_first_turn(spark):
+    def numbered(turns):
+        """Numbers turns, and leaves out the first one's text once a turn says so."""
+        forget = any(text == "forget" for _, text in turns)
+        return "".join(f"{k}:{'' if forget and not k else text};" for k, (_, text) in enumerate(turns))
+
+    rows = [(1, k, "assistant" if k % 2 else "user", "forget" if k == 560 else f"text {k}") for k in range(600)]
+    pieces = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), numbered)
+    found = sorted(pieces.collect(), key=lambda r: r.turn_no)
+    assert [r.turn_no for r in found if r.rewrites_history] == [560]
+    assert found[560].begin == 2
+    whole = numbered([(r, t) for _, _, r, t in rows])
+    assert whole[:2] + "".join(r.formatted for r in found[560:]) == whole
+    assert all(whole[s.begin : s.end] == f"text {r.turn_no}" for r in found[561:] for s in r.loss)
+    assert all(r.loss for r in found if r.role == "assistant")
