@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, html, langid, mixing, neardup, packing, pii, quality, secrets, vectors
+from orderflow.llm import (
+    chat, conversation_sql, html, langid, mixing, neardup, packing, pii, quality, repair, secrets, vectors,
+)
 from orderflow.llm.common import table
 
 #: The turns that try to break out of their conversation.
@@ -87,6 +89,36 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The turns with faults put in by a hash of conversation and turn; ``gone`` marks those to be dropped."""
+    blank = F.lit(" ")
+    key = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank)
+    )
+    kind = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind == 0).alias("gone"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    emptied = rows.groupBy("conv_id").agg(F.bool_and("gone").alias("gone")).filter("gone").select(
+        "conv_id",
+        *[F.lit(0).cast("long").alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.lit("").alias("audit"),
+        F.sha2(F.lit(""), 256).alias("repaired_sha256"),
+    )
+    return repair.digests(repair.repair(rows.filter(~F.col("gone")))).unionByName(emptied)
+
+
 QUERIES = [
     op1_mixing,
     op2_html,
@@ -98,6 +130,7 @@ QUERIES = [
     op8_quality,
     op9_language,
     op10_vectors,
+    op12_conversation_repair,
 ]
 
 _CHAT_SQL = r"""
@@ -144,4 +177,8 @@ SELECT e.vec_id,
 FROM embeddings e LEFT JOIN roots r ON e.vec_id = r.a LEFT JOIN counts c ON e.vec_id = c.a
 """
 
-SQL = {"op6_chat": _CHAT_SQL, "op10_vectors": _VECTORS_SQL}
+SQL = {
+    "op6_chat": _CHAT_SQL,
+    "op10_vectors": _VECTORS_SQL,
+    "op12_conversation_repair": conversation_sql.REPAIR,
+}
