@@ -118,3 +118,53 @@ LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+TRIE = f"""
+WITH RECURSIVE told AS (
+    SELECT conv_id, turn, coalesce(text, '') AS text,
+        md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+keys AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS key FROM told),
+{CRC},
+own AS (
+    SELECT conv_id, said, strlen(text) AS bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos
+    FROM told
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, h % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM told) JOIN hashes ON key = CAST(conv_id AS VARCHAR)
+),
+pieces AS (
+    SELECT c.conv_id, 0 AS piece, o.pos, o.said, o.bytes FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, o.pos, o.said, o.bytes FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+),
+members AS (
+    SELECT conv_id, row_number() OVER in_order AS depth, string_agg(said, '') OVER in_order AS path, bytes
+    FROM pieces WINDOW in_order AS (PARTITION BY conv_id ORDER BY piece, pos)
+    UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+),
+nodes AS (
+    SELECT path, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(bytes) AS bytes
+    FROM members GROUP BY path
+),
+below AS (SELECT left(path, (depth - 1) * 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+costs AS (
+    SELECT n.*, coalesce(b.n, 0) AS n_children, (n.n_convs - 1) * n.bytes AS saved FROM nodes n LEFT JOIN below b USING (path)
+),
+upward AS (SELECT path, saved, n_children, unnest(range(depth + 1)) AS level FROM costs),
+sums AS (
+    SELECT left(path, level * 32) AS path, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+    FROM upward GROUP BY 1
+),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+ends AS (
+    SELECT m.path, string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) AS ids
+    FROM members m JOIN lengths l ON l.conv_id = m.conv_id AND l.depth = m.depth GROUP BY m.path
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+    s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM costs c JOIN sums s USING (path) LEFT JOIN ends e USING (path)
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = left(c.path, (c.depth - 1) * 32)
+"""

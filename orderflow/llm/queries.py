@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import (
-    chat, conversation_sql, html, langid, mixing, neardup, packing, pii, quality, repair, secrets, vectors,
+    chat, conversation_sql, html, langid, mixing, neardup, packing, pii, quality, repair, secrets, trie, vectors,
 )
 from orderflow.llm.common import table
 
@@ -119,6 +119,21 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(repair.repair(rows.filter(~F.col("gone")))).unionByName(emptied)
 
 
+def rebuilt(told: DataFrame) -> DataFrame:
+    """Sequences that begin with up to eight turns of the conversation with the next lower multiple of 5."""
+    base = told.select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("base_turns"))
+    own = told.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5).withColumn(
+        "h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    )
+    head = F.coalesce(F.slice("base_turns", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    tail = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    return own.join(base, "base", "left").select("conv_id", F.concat(head, tail).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(rebuilt(trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = [
     op1_mixing,
     op2_html,
@@ -131,6 +146,7 @@ QUERIES = [
     op9_language,
     op10_vectors,
     op12_conversation_repair,
+    op13_prefix_trie,
 ]
 
 _CHAT_SQL = r"""
@@ -181,4 +197,5 @@ SQL = {
     "op6_chat": _CHAT_SQL,
     "op10_vectors": _VECTORS_SQL,
     "op12_conversation_repair": conversation_sql.REPAIR,
+    "op13_prefix_trie": conversation_sql.TRIE,
 }
