@@ -29,6 +29,14 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Free the disk of a table that ``written`` stored, once what was made of it is stored too."""
+    files = frame.inputFiles()
+    if files:
+        folder = files[0].rsplit("/", 1)[0]
+        frame.sparkSession.createDataFrame([], frame.schema).write.mode("overwrite").parquet(folder)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import (
-    chat, conversation_sql, html, langid, mixing, neardup, packing, pii, quality, repair, secrets, trie, vectors,
+    chat, conversation_sql, html, langid, mixing, neardup, packing, pii, quality, repair, repeats, secrets,
+    trie, vectors,
 )
 from orderflow.llm.common import table
 
@@ -89,6 +90,10 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The turns with faults put in by a hash of conversation and turn; ``gone`` marks those to be dropped."""
     blank = F.lit(" ")
@@ -145,6 +150,7 @@ QUERIES = [
     op8_quality,
     op9_language,
     op10_vectors,
+    op11_repeats,
     op12_conversation_repair,
     op13_prefix_trie,
 ]
