@@ -22,9 +22,9 @@ _CHOICE = SPAN - GRAM + 1
 #: Bytes at most before a sample, and from it on, in a string of SPAN bytes that holds it.
 _LEFT, _RIGHT = SPAN - GRAM, SPAN
 #: Bytes of a long text that are hashed at once.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 #: Contexts of one gram that a task sorts; those of more are counted string by string instead.
-HOT = 2_000
+HOT = 256
 #: Contexts that a task holds at once, whole grams only.
 _HELD = 20_000
 
@@ -236,11 +236,15 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             rows = list({row["around"]: row for row in held[begin:end]}.values())
             begin = end
+            # All repeats through one sample hold its gram, so together they cover one run.
+            most_before, most_after = [0] * len(rows), [0] * len(rows)
             for before, after, members in maximal_repeats([(row["before"][::-1], row["after"]) for row in rows]):
                 for k in members:
-                    row = rows[k]
-                    if row["n"] == 1:
-                        out.append((row["k1"], row["k2"], row["pos"] - before, row["pos"] + after))
+                    most_before[k] = max(most_before[k], before)
+                    most_after[k] = max(most_after[k], after)
+            for row, before, after in zip(rows, most_before, most_after, strict=True):
+                if after and row["n"] == 1:
+                    out.append((row["k1"], row["k2"], row["pos"] - before, row["pos"] + after))
         columns = zip(*out, strict=True) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "begin", "end"])
 
@@ -255,32 +259,108 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield found(held)
 
 
-_STRING = "k1 long, k2 long, gram long, before int, string long, begin long, n long"
+_REACH = _CONTEXT + ", most_before long"
+#: A string's ``times`` in one chunk of contexts; its place if it is the only one there and looks for others.
+_STRING = "gram long, before long, string long, times long, k1 long, k2 long, begin long, end long"
+
+
+def _most_shared(strings: list[bytes], grams: list[int]) -> list[int]:
+    """What each of the sorted strings shares at most with a neighbour of its gram; all for the first and last."""
+    pairs = zip(zip(strings, grams, strict=True), zip(strings[1:], grams[1:], strict=True), strict=False)
+    beside = [_shared(a, b) if g == h else 0 for (a, g), (b, h) in pairs]
+    most = [max(x, y) for x, y in zip([0, *beside], [*beside, 0], strict=True)]
+    for k in (0, -1):
+        most[k] = len(strings[k])
+    return most
+
+
+def _reach_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        most = _most_shared([b[::-1] for b in batch.column("before").to_pylist()], batch.column("gram").to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(most, pa.int64())], names=[*batch.schema.names, "most_before"])
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of SPAN bytes of each context, as a hash and its place."""
+    """The strings of SPAN bytes of each context that another may share; rows come sorted by gram and what follows.
+
+    Each distinct string is given once a batch, with its number. A context whose strings occur
+    more often in the batch gets its span at once; a string alone in it is given with its place.
+    """
     names = [field.split()[0] for field in _STRING.split(", ")]
     ups, downs = _powers()
+    width = _LEFT + _RIGHT
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["before"] + row["after"], np.uint8)
-            count = len(data) - SPAN + 1
-            if count <= 0:
-                continue
+        for first in range(0, len(batch), 4_000):
+            part = batch.slice(first, 4_000)
+            before, after = part.column("before").to_pylist(), part.column("after").to_pylist()
+            gram, n, pos, k1, k2 = (part.column(c).to_numpy() for c in ("gram", "n", "pos", "k1", "k2"))
+            most = np.array(_most_shared(after, gram.tolist()))
+            rows = b"".join(b.rjust(_LEFT, b"\0") + a.ljust(_RIGHT, b"\0") for b, a in zip(before, after, strict=True))
+            data = np.frombuffer(rows, np.uint8).reshape(-1, width)
+            low = SPAN - most
+            high = np.minimum(part.column("most_before").to_numpy(), [len(b) for b in before])
+            place = np.arange(_LEFT + 1)
+            row, own = np.nonzero((place >= low[:, None]) & (place <= high[:, None]))
             with np.errstate(over="ignore"):
-                sums = np.zeros(len(data) + 1, np.uint64)
-                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * ups[: len(data)], out=sums[1:])
-                hashes = mixed((sums[SPAN:] - sums[:-SPAN]) * downs[:count]).view(np.int64)
-            before = len(row["before"]) - np.arange(count)
-            same = [np.full(count, row[name]) for name in ("k1", "k2", "gram")]
-            out.append((*same, before.astype(np.int32), hashes, row["pos"] - before, np.full(count, row["n"])))
-            if len(out) >= 1_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
+                sums = np.zeros((len(data), width + 1), np.uint64)
+                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * ups[:width], axis=1, out=sums[:, 1:])
+                start = _LEFT - own
+                string = mixed((sums[row, start + SPAN] - sums[row, start]) * downs[start])
+                same = mixed(string + mixed(gram[row].view(np.uint64) + own.astype(np.uint64)))
+            _, one, index = np.unique(same, return_index=True, return_inverse=True)
+            times = np.bincount(index, n[row], len(one)).astype(np.int64)
+            alone = (times == 1)[index]
+            # Distinct strings that occur more often here.
+            several = one[times > 1]
+            nothing = np.zeros(len(several), bool)
+            yield _string_rows(names, gram, own, string, k1, k2, pos, row, several, times[times > 1], nothing)
+            # Strings alone here, with their place.
+            single = np.flatnonzero(alone)
+            yield _string_rows(names, gram, own, string, k1, k2, pos, row, single, np.ones(len(single), np.int64), np.ones(len(single), bool))
+            # What is covered already, as runs of strings that begin next to each other.
+            known = np.flatnonzero(~alone & (n[row] == 1))
+            if len(known):
+                cut = np.flatnonzero((row[known[1:]] != row[known[:-1]]) | (own[known[1:]] != own[known[:-1]] + 1)) + 1
+                least, most_ = known[np.append(0, cut)], known[np.append(cut, len(known)) - 1]
+                of = row[least]
+                none = pa.nulls(len(of), pa.int64())
+                columns = [none, none, none, none, pa.array(k1[of]), pa.array(k2[of])]
+                columns += [pa.array(pos[of] - own[most_]), pa.array(pos[of] - own[least] + SPAN)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _string_rows(names, gram, own, string, k1, k2, pos, row, which, times, placed) -> pa.RecordBatch:
+    of = row[which]
+    begin = pos[of] - own[which]
+    columns = [pa.array(gram[of]), pa.array(own[which]), pa.array(string[which].view(np.int64)), pa.array(times)]
+    columns += [pa.array(c, mask=~placed) for c in (k1[of], k2[of], begin, begin + SPAN)]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _counted(contexts: DataFrame) -> DataFrame:
+    """(k1, k2, begin, end): the spans of contexts of hot grams, whose strings are counted.
+
+    Sorted over all tasks by what lies before the sample, and then by what follows it, a context
+    shares most with a neighbour; strings that reach further on either side are its own alone.
+    Only the others are counted, combined by batch and by task. The first and last row of a batch
+    do not know a neighbour and count all.
+    """
+    columns = [field.split()[0] for field in _CONTEXT.split(", ")]
+    once = contexts.dropDuplicates(["gram", "around"]).select(*columns, F.reverse(F.hex("before")).alias("backwards"))
+    backwards = once.repartitionByRange("gram", "backwards").sortWithinPartitions("gram", "backwards").select(columns)
+    reach = written(backwards.mapInArrow(_reach_before, _REACH), "reach")
+    forwards = reach.repartitionByRange("gram", "after", "before").sortWithinPartitions("gram", "after", "before")
+    strings = written(forwards.mapInArrow(_strings, _STRING), "strings")
+    discard(reach)
+    string = ["gram", "before", "string"]
+    often = strings.filter("times IS NOT NULL").groupBy(string).agg(F.sum("times").alias("all"), F.count("*").alias("rows"))
+    # Strings that occur more often in one batch alone need no second look.
+    often = often.filter("all > 1 AND rows > 1").select(string)
+    place = ["k1", "k2", "begin", "end"]
+    found = strings.filter("times = 1 AND begin IS NOT NULL").join(often, string).select(place)
+    spans = written(strings.filter("times IS NULL").select(place).unionByName(found), "counted")
+    discard(strings)
+    return spans
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -291,8 +371,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     other contexts of a gram, those that occur once look for partners: sorted by what follows the
     sample they are an enhanced suffix array, whose interval tree gives the maximal repeats
     with all their occurrences. A gram with more than HOT contexts (a line that very many texts
-    hold) is not gathered: its strings of SPAN bytes are counted by hash, combined before the
-    shuffle, which gives the same bytes. Joins on grams and texts may be split where one is hot.
+    hold) is not gathered: its contexts are sorted over all tasks, and those strings of SPAN bytes
+    that sorted neighbours may share are counted by hash, which gives the same bytes. Joins on grams and texts may be split where one is hot.
 
     Copies of a text may be left in or out; a row is one occurrence.
     """
@@ -319,21 +399,14 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     discard(kinds)
     by_gram = contexts.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
     partly = written(by_gram.mapInArrow(_covered, SPANS), "partly")
-    strings = contexts.join(hot, "gram", "left_semi").dropDuplicates(["gram", "around"]).select(_CONTEXT_NAMES).mapInArrow(_strings, _STRING)
-    strings = written(strings, "strings")
+    counted = _counted(contexts.join(hot, "gram", "left_semi"))
     discard(contexts)
-    string = ["gram", "before", "string"]
-    often = strings.groupBy(string).agg(F.sum("n").alias("times")).filter("times > 1").select(string)
-    counted = strings.filter("n = 1").join(often, string).select("k1", "k2", "begin", (F.col("begin") + SPAN).alias("end"))
     parts = written(_runs(partly.unionByName(counted)), "parts")
-    for table in (partly, strings, hot):
+    for table in (partly, counted, hot):
         discard(table)
     return whole.unionByName(parts)
 
 
-_CONTEXT_NAMES = [field.split()[0] for field in _CONTEXT.split(", ")]
-
-
 def _runs(spans: DataFrame) -> DataFrame:
     """One row a text: its distinct spans."""
     return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))

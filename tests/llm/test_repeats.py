@@ -58,7 +58,7 @@ def check(spark, texts, parts=4):
             assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.removed) == r.n_spans
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 2_000), (2, 2_000), (3, 0), (4, 2)])
+@pytest.mark.parametrize("seed,hot", [(1, 256), (2, 256), (3, 0), (4, 2)])
 def test_same_bytes_as_brute_force(spark, monkeypatch, seed, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     check(spark, corpus(seed))
