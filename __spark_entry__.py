@@ -24,6 +24,7 @@ from orderflow.plans import testdata as data  # noqa: E402
 from orderflow.session import WORK_DIR, configure, work_dir  # noqa: E402
 from orderflow.sinks import files  # noqa: E402
 from orderflow.sinks import warehouse as warehouse_sink  # noqa: E402
+from orderflow.sinks.loads import append_new_orders  # noqa: E402
 from orderflow.sources.messages import read_lines, stream_lines  # noqa: E402
 from orderflow.sources.tables import SourceTables, read_source_tables  # noqa: E402
 from orderflow.sources.warehouse import read_orders  # noqa: E402
@@ -277,7 +278,7 @@ def repeated_load(spark, sf_dir):
     path = work_dir(spark, "orders")
     rows = clean.warehouse_rows(data.text_events(spark, sf_dir), RUN_TS)
     for _ in range(2):
-        warehouse_sink.append_new_orders(spark, rows, path)
+        append_new_orders(spark, rows, path)
     warehouse_sink.replace_dates(rows.filter("order_date IS NOT NULL"), path)
     return marts.agg_sales_daily(read_orders(spark, path))
 

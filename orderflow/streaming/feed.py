@@ -4,6 +4,7 @@ Every stream drains what is available and stops; offsets are committed after the
 so a rerun picks up where the last run ended and a crash repeats at most one batch.
 """
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderflow import schemas as S
 from orderflow.functions.order_json import is_document
-from orderflow.operators.clean import typed, warehouse_rows
+from orderflow.operators.clean import warehouse_rows
 from orderflow.operators.validate import VALID, check, routed_lines
 from orderflow.plans.marts import agg_sales_daily, stg_orders
-from orderflow.sinks.warehouse import append_new_orders
+from orderflow.sinks.loads import Loads
 from orderflow.sources.warehouse import on_dates_of, read_orders
 
 
@@ -102,15 +103,16 @@ def load_stream(
     daily: str | None = None,
     run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """Append new lines to the orders table and refresh the daily dates they touch.
+    """Append new lines to the orders table and add them to the daily sales.
 
-    A repeated batch finds its lines already there and adds nothing.
+    Each batch is a load named by checkpoint and number, so one that is delivered again after
+    a crash is known by its name, or settled from where it was cut off.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()
+    loads = Loads(spark, warehouse, daily)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new_orders(spark, warehouse_rows(batch, run_ts), warehouse)
-        if daily:
-            refresh_daily(spark, typed(batch), warehouse, daily)
+        loads.load(warehouse_rows(batch, run_ts), f"{stream}-{batch_id}")
 
     return (
         enriched.writeStream.foreachBatch(load_batch)
@@ -121,7 +123,10 @@ def load_stream(
 
 
 def refresh_daily(spark: SparkSession, rows: DataFrame, warehouse: str, daily: str) -> None:
-    """Recompute daily sales of the dates that occur in ``rows`` from the orders table."""
+    """Recompute daily sales of the dates that occur in ``rows`` from the lines of the orders table.
+
+    For tables that were changed other than by loads; loads add their own sums.
+    """
     staging = stg_orders(on_dates_of(read_orders(spark, warehouse), rows))
     (
         agg_sales_daily(staging)

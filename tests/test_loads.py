@@ -1,0 +1,215 @@
+"""Loads at the cost of the batch: key index, crashes at every step, daily sums, pruned dates."""
+
+import os
+import random
+import re
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderflow import schemas as S
+from orderflow.plans import daily as daily_sales
+from orderflow.plans import marts
+from orderflow.sinks import keys
+from orderflow.sinks.folders import exists, names
+from orderflow.sinks.keys import KeyIndex, with_key
+from orderflow.sinks.loads import Loads
+from orderflow.sinks.warehouse import append_orders, replace_dates
+from orderflow.sources.warehouse import on_dates_of, read_orders
+
+STAMP = datetime(2020, 1, 1, tzinfo=timezone.utc)
+FIRST = date(2018, 1, 1)
+
+
+@pytest.fixture(autouse=True)
+def small_index(monkeypatch):
+    monkeypatch.setattr(keys, "PARTS", 4)
+    monkeypatch.setattr(keys, "BUCKETS", 16)
+
+
+def lines(spark, numbers, day=None):
+    """One line for each number; the number decides everything but, if given, its day."""
+    rows = []
+    for n in numbers:
+        own = FIRST + timedelta(days=n % 9) if day is None else day
+        rows.append(
+            {
+                "order_id": f"o{n // 3}", "customer_id": "c", "product_id": None if n % 17 == 0 else f"p{n % 3}",
+                "quantity": 1, "unit_price": 1.0, "amount": 1.0, "freight_value": 0.0,
+                "revenue": None if n % 11 == 0 else n / 100 if n % 5 else n / 256, "status": f"S{n % 2}",
+                "customer_state": f"T{n % 2}", "order_date": None if n % 13 == 0 else own, "loaded_at": STAMP,
+            }
+        )
+    full = [tuple(row.get(name) for name in S.ORDER_COLUMNS) for row in rows]
+    return spark.createDataFrame(full, S.WAREHOUSE)
+
+
+def stored_numbers(spark, path):
+    return sorted((r.order_id, r.product_id or "") for r in read_orders(spark, path).collect())
+
+
+def numbers_as_keys(numbers):
+    return sorted((f"o{n // 3}", "" if n % 17 == 0 else f"p{n % 3}") for n in numbers)
+
+
+def daily_rows(spark, root):
+    full = marts.agg_sales_daily(read_orders(spark, f"{root}/orders"))
+    kept = spark.read.parquet(f"{root}/daily").select(full.columns)
+    return [sorted(map(str, frame.collect())) for frame in (kept, full)]
+
+
+def test_random_batches_equal_a_full_rebuild(spark, tmp_path):
+    chance = random.Random(1)
+    loads, seen = Loads(spark, f"{tmp_path}/orders", f"{tmp_path}/daily"), set()
+    for _ in range(4):
+        batch = {chance.randrange(400) for _ in range(chance.randrange(1, 120))}
+        loads.load(lines(spark, sorted(batch)))
+        seen |= batch
+    assert stored_numbers(spark, f"{tmp_path}/orders") == numbers_as_keys(seen)
+    kept, full = daily_rows(spark, tmp_path)
+    assert kept == full and len(full) > 9
+
+
+@pytest.mark.parametrize(
+    "step,after", [("_append", False), ("_append", True), ("index.add", False), ("daily", True), ("ledger", False)]
+)
+def test_crash_at_any_step(spark, tmp_path, monkeypatch, step, after):
+    """The load dies before or after a step; delivered again, or followed by another, nothing is lost or doubled."""
+    loads = Loads(spark, f"{tmp_path}/orders", f"{tmp_path}/daily")
+    loads.load(lines(spark, range(40)), "one")
+
+    def dies(do):
+        def run(*arguments, **more):
+            if after:
+                do(*arguments, **more)
+            raise RuntimeError("lost")
+
+        return run
+
+    with monkeypatch.context() as patch:
+        if step == "_append":
+            patch.setattr(loads, "_append", dies(loads._append))
+        elif step == "index.add":
+            patch.setattr(loads.index, "add", dies(loads.index.add))
+        elif step == "daily":
+            patch.setattr("orderflow.sinks.loads.add_to_daily", dies(daily_sales.add_to_daily))
+        else:
+            patch.setattr("orderflow.sinks.loads.remove", dies(lambda *a: None))
+        with pytest.raises(RuntimeError):
+            loads.load(lines(spark, range(30, 80)), "two")
+    again = Loads(spark, f"{tmp_path}/orders", f"{tmp_path}/daily")
+    if after:
+        again.load(lines(spark, range(30, 80)), "two")
+    again.load(lines(spark, range(70, 90)), "three")
+    assert stored_numbers(spark, f"{tmp_path}/orders") == numbers_as_keys(range(90))
+    kept, full = daily_rows(spark, tmp_path)
+    assert kept == full
+    assert names(spark, f"{tmp_path}/orders-staging") == []
+
+
+def test_a_named_load_is_done_once(spark, tmp_path):
+    loads = Loads(spark, f"{tmp_path}/orders")
+    loads.load(lines(spark, range(5)), "a")
+    loads.load(lines(spark, range(5, 9)), "a")  # another batch cannot have the same name
+    assert stored_numbers(spark, f"{tmp_path}/orders") == numbers_as_keys(range(5))
+
+
+def test_index_follows_other_writers(spark, tmp_path):
+    path = f"{tmp_path}/orders"
+    append_orders(lines(spark, range(20)), path)
+    Loads(spark, path).load(lines(spark, range(10, 30)))
+    assert stored_numbers(spark, path) == numbers_as_keys(range(30))
+    # A date is replaced by a line less and another line; both are seen by the next load.
+    day = FIRST + timedelta(days=1)
+    replace_dates(lines(spark, [1, 10, 500], day), path)
+    Loads(spark, path).load(lines(spark, [19, 28, 500, 600], FIRST + timedelta(days=7)))
+    assert stored_numbers(spark, path) == numbers_as_keys(
+        [n for n in range(30) if n % 9 != 1 or n % 13 == 0] + [1, 10, 500, 19, 28, 600]
+    )
+
+
+def test_lines_without_an_order_are_always_new(spark, tmp_path):
+    nameless = lines(spark, range(3)).withColumn("order_id", F.lit(None).cast("string"))
+    for _ in range(2):
+        Loads(spark, f"{tmp_path}/orders").load(nameless)
+    assert read_orders(spark, f"{tmp_path}/orders").count() == 6
+
+
+def _index(spark, tmp_path, size=3_000):
+    index = KeyIndex(spark, f"{tmp_path}/orders")
+    index.add(with_key(lines(spark, range(size))))
+    return index
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_load_does_not_shuffle_the_index(spark, tmp_path, monkeypatch):
+    index = _index(spark, tmp_path)
+    monkeypatch.setattr(keys, "FEW", 10)
+    with_key(lines(spark, range(2_500, 4_000))).write.parquet(f"{tmp_path}/batch")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = index.unknown(spark.read.parquet(f"{tmp_path}/batch"))
+        plan = _plan(found)
+        above_index = plan[: plan.index(index.name)].rsplit(":- ", 1)[-1].split("+- Sort")[-1]
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert plan.count("Exchange") == 1 and "Exchange" not in above_index
+        assert found.count() == len({(n // 3, n) for n in range(3_000, 4_000)})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_small_load_reads_its_own_buckets(spark, tmp_path):
+    index = _index(spark, tmp_path)
+    with_key(lines(spark, [5, 7, 9_999])).write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    own = {r.bucket for r in batch.select(F.pmod(F.hash("line"), F.lit(keys.BUCKETS)).alias("bucket")).collect()}
+    broken = 0
+    for folder, _, files in os.walk(index.path):
+        for name in files:
+            bucket = re.search(r"_(\d{5})\.c000", name)
+            # Files of any other bucket cannot be read any more.
+            if bucket and name.endswith(".parquet") and int(bucket[1]) not in own:
+                with open(f"{folder}/{name}", "wb") as file:
+                    file.write(b"broken")
+                broken += 1
+    known = index.known(batch)
+    assert sorted(r.line for r in known.collect()) == ["2:o1/p2", "2:o2/p1"]
+    assert "PartitionFilters: [part" in _plan(known) and "PushedFilters: [In(line" in _plan(known)
+    assert broken == keys.BUCKETS - len(own)
+
+
+def test_index_survives_a_new_session(spark, tmp_path):
+    index = _index(spark, tmp_path, 50)
+    spark.sql(f"DROP TABLE {index.name}")  # as a session that never saw it
+    with_key(lines(spark, range(40, 60))).write.parquet(f"{tmp_path}/batch")
+    unknown = KeyIndex(spark, f"{tmp_path}/orders").unknown(spark.read.parquet(f"{tmp_path}/batch"))
+    assert unknown.count() == 10
+    index.forget()
+    assert not exists(spark, index.path)
+
+
+def test_dates_are_pruned_while_the_table_is_read(spark, tmp_path):
+    append_orders(lines(spark, range(300)), f"{tmp_path}/orders")
+    orders = read_orders(spark, f"{tmp_path}/orders")
+    lines(spark, [1, 3, 13, 28]).write.parquet(f"{tmp_path}/batch")
+    chosen = on_dates_of(orders, spark.read.schema(S.WAREHOUSE).parquet(f"{tmp_path}/batch"))
+    assert "dynamicpruning" in _plan(chosen)
+    days = {FIRST + timedelta(days=1), FIRST + timedelta(days=3), None}
+    assert {r.order_date for r in chosen.select("order_date").distinct().collect()} == days
+    assert chosen.count() == orders.filter("order_date IS NULL").count() + orders.filter(
+        F.col("order_date").isin([d for d in days if d])
+    ).count()
+
+
+def test_adding_a_load_again_changes_nothing(spark, tmp_path):
+    lines(spark, range(100)).write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.schema(S.WAREHOUSE).parquet(f"{tmp_path}/batch")
+    for _ in range(2):
+        daily_sales.add_to_daily(spark, batch, f"{tmp_path}/daily", "one")
+    full = marts.agg_sales_daily(batch)
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/daily").select(full.columns).collect())) == sorted(map(str, full.collect()))
