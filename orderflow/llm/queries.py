@@ -37,13 +37,13 @@ def _listed(spans):
     )
 
 
-def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+def _span_digest(found: DataFrame, kinds: tuple[str, ...], *more: str) -> DataFrame:
     def count(kind: str):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(kind) for kind in kinds]
     return found.select(
-        "doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans")
+        "doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"), *more
     )
 
 
@@ -59,7 +59,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digest(secrets.scan(table(spark, sf_dir, "documents")), secrets.KINDS)
+    return _span_digest(secrets.scan(table(spark, sf_dir, "documents")), secrets.KINDS, "limited")
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,12 @@ import base64
 import hashlib
 import re
 import zlib
-from bisect import bisect_right
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,31 @@ _BASE64_CLASS = _classes(_ALNUM + "+/_-")
 _LONG = b"x" * 16
 
 Span = tuple[str, int, int]
-#: Where a range of a layer's text lies in the text it was unwrapped from.
-Map = Callable[[int, int], tuple[int, int]]
+
+
+class Map:
+    """Where the characters of a layer lie in the document's text, however deep the layer.
+
+    A map of the text itself says nothing; one of compressed data names one range for all; any
+    other holds begin and end of each character. A map of what lies inside is made from the
+    layer's own at once, so no map leans on another.
+    """
+
+    def __init__(self, begins: np.ndarray | None = None, ends: np.ndarray | None = None, whole: tuple[int, int] | None = None):
+        self.begins, self.ends, self.whole = begins, ends, whole
+
+    def __call__(self, a: int, b: int) -> tuple[int, int]:
+        if self.whole is not None:
+            return self.whole
+        return (a, b) if self.begins is None else (int(self.begins[a]), int(self.ends[b - 1]))
+
+    def inside(self, begins: np.ndarray, ends: np.ndarray) -> Map:
+        """The map of characters that lie at these places of the layer."""
+        if self.whole is not None:
+            return self
+        if self.begins is None:
+            return Map(begins.astype(np.int32), ends.astype(np.int32))
+        return Map(self.begins[begins], self.ends[ends - 1])
 
 
 def base_spans(text: str) -> list[Span]:
@@ -81,11 +105,11 @@ _ASCII = re.compile(rb"[\x20-\x7e\t\r\n]{16,}")
 _UTF16 = {"utf-16-le": re.compile(rb"(?:[\x20-\x7e\t\r\n]\x00){16,}"), "utf-16-be": re.compile(rb"(?:\x00[\x20-\x7e\t\r\n]){16,}")}
 
 
-class _Layer:
+class _Layer(NamedTuple):
     """A text with where its characters come from."""
 
-    def __init__(self, text: str, place: Map):
-        self.text, self.place = text, place
+    text: str
+    place: Map
 
 
 class _Places:
@@ -107,12 +131,16 @@ class _Places:
             self.ends.append(end)
             self.size += len(part)
 
-    def place(self, a: int, b: int) -> tuple[int, int]:
-        i, j = bisect_right(self.outs, a) - 1, bisect_right(self.outs, b - 1) - 1
-        begin, end = self.begins[i], self.ends[j]
-        if self.ends[i] is None:
-            begin += a - self.outs[i]
-        return begin, self.begins[j] + b - self.outs[j] if end is None else end
+    def within(self, outer: Map) -> Map:
+        """The map of the decoded text."""
+        outs = np.array([*self.outs, self.size])
+        sizes = np.diff(outs)
+        begins = np.repeat(np.array(self.begins, np.int64), sizes)
+        step = np.arange(self.size) - np.repeat(outs[:-1], sizes)
+        single = np.repeat(np.array([e is not None for e in self.ends], bool), sizes)
+        ends = np.repeat(np.array([e or 0 for e in self.ends], np.int64), sizes)
+        begins = np.where(single, begins, begins + step)
+        return outer.inside(begins, np.where(single, ends, begins + 1))
 
 
 def _decoded(text: str, pattern: re.Pattern) -> tuple[str, _Places]:
@@ -146,10 +174,6 @@ def _escaped_char(m: re.Match) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
 
 
-def _within(places: _Places, outer: Map) -> Map:
-    return lambda a, b: outer(*places.place(a, b))
-
-
 def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map, set[int]] | tuple[bytes, Map, set[int]]]:
     """What a text holds encoded: the whole text decoded once, and bytes of which base64 runs are made."""
     text, outer = layer.text, layer.place
@@ -157,11 +181,11 @@ def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map, set[int]] | tuple[byte
         plain = None
         if _ENCODED.search(text):
             plain, places = _decoded(text, _ENCODED)
-            yield plain, _within(places, outer), set()
+            yield plain, places.within(outer), set()
         if "\\" in text:
             inner, places = _decoded(text, _ENCODED_IN_JSON)
             if inner not in (text, plain):
-                yield inner, _within(places, outer), set()
+                yield inner, places.within(outer), set()
     if _LONG in text.encode("ascii", "replace").translate(_BASE64_CLASS):
         for m in chain(_BASE64.finditer(text), _WRAPPED.finditer(text)):
             places = _Places()
@@ -172,13 +196,14 @@ def _unwrapped(layer: _Layer) -> Iterator[tuple[str, Map, set[int]] | tuple[byte
             if run.islower() or run.isupper() or run.isdigit() or run.capitalize() == run:
                 continue
             plain = run.translate(_PLAIN_ALPHABET)
+            inner = places.within(outer)
             # Behind a word glued to it, a run may begin at any of four places.
             for first in range(4):
                 size = len(run) - first
                 size -= size % 4 == 1
                 raw = base64.b64decode(plain[first : first + size] + "=" * (-size % 4))
                 starts = {0, *(p // 4 * 3 for p in _after_separators(run, places, first))}
-                yield raw, _by_groups(first, len(run), _within(places, outer)), starts
+                yield raw, _by_groups(first, len(run), len(raw), inner), starts
 
 
 def _after_separators(run: str, places: _Places, first: int) -> Iterator[int]:
@@ -191,13 +216,11 @@ def _after_separators(run: str, places: _Places, first: int) -> Iterator[int]:
 _PLAIN_ALPHABET = str.maketrans("-_", "+/")
 
 
-def _by_groups(first: int, last: int, outer: Map) -> Map:
+def _by_groups(first: int, last: int, size: int, outer: Map) -> Map:
     """Places of bytes in a base64 run: every three bytes lie in four characters."""
-
-    def place(a: int, b: int) -> tuple[int, int]:
-        return outer(first + a // 3 * 4 + a % 3, min(last, first + (b - 1) // 3 * 4 + (b - 1) % 3 + 2))
-
-    return place
+    at = np.arange(size)
+    begins = first + at // 3 * 4 + at % 3
+    return outer.inside(begins, np.minimum(begins + 2, last))
 
 
 _GZIP = b"\x1f\x8b\x08"
@@ -243,14 +266,12 @@ def _texts_of(raw: bytes, place: Map) -> Iterator[_Layer]:
         if len(text) == len(raw):
             yield _Layer(text, place)
         else:
-            starts = [0]
-            for char in text:
-                starts.append(starts[-1] + len(char.encode()))
-            yield _Layer(text, lambda a, b: place(starts[a], starts[b]))
+            starts = np.cumsum([0, *(len(char.encode()) for char in text)])
+            yield _Layer(text, place.inside(starts[:-1], starts[1:]))
     for name, pattern in _UTF16.items():
         for m in pattern.finditer(raw):
-            begin = m.start()
-            yield _Layer(m[0].decode(name), lambda a, b, begin=begin: place(begin + 2 * a, begin + 2 * b))
+            at = m.start() + 2 * np.arange((m.end() - m.start()) // 2)
+            yield _Layer(m[0].decode(name), place.inside(at, at + 2))
 
 
 def _layers(inner: bytes, place: Map, starts: set[int], left: int) -> Iterator[tuple[_Layer, bool]]:
@@ -265,15 +286,18 @@ def _layers(inner: bytes, place: Map, starts: set[int], left: int) -> Iterator[t
         unpacked, cut = _inflated(inner[start:], left)
         if unpacked is None:
             continue
-        whole = place(start, len(inner))
-        # A stream within a stream, as deep as it goes; one that holds itself has a limit.
-        for _ in range(64):
-            for new in _texts_of(unpacked, lambda a, b, whole=whole: whole):
+        whole = Map(whole=place(start, len(inner)))
+        # Streams within streams, as deep as they go; one that holds itself is met again.
+        met: set[bytes] = set()
+        while unpacked is not None and (digest := hashlib.sha256(unpacked).digest()) not in met:
+            met.add(digest)
+            for new in _texts_of(unpacked, whole):
                 yield new, cut
-            again, cut = _inflated(unpacked, left)
-            if again is None or again == unpacked:
+            left -= len(unpacked)
+            if left <= 0:
+                yield _Layer("", whole), _is_packed(unpacked)
                 break
-            unpacked = again
+            unpacked, cut = _inflated(unpacked, left)
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
@@ -293,7 +317,7 @@ def unwrapped_spans(text: str) -> tuple[list[Span], list[Span], bool]:
     """
     base = base_spans(text)
     found = set(base)
-    work: deque[_Layer] = deque([_Layer(text, lambda a, b: (a, b))])
+    work: deque[_Layer] = deque([_Layer(text, Map())])
     seen: set[tuple[bytes, int, int]] = set()
     left, limited = MOST_UNWRAPPED, False
     while work:
