@@ -7,17 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import chunks, hashed_words, mixed, text_bytes, written
+from orderflow.llm.common import chunks, discard, hashed_words, mixed, text_bytes, written
 from orderflow.llm.graph import components
 
 SHINGLE = 5
 SLOTS = 128
 BAND_ROWS = 5
 BANDS = 25
-_BYTES_AT_ONCE = 2_000_000
+_BYTES_AT_ONCE = 1_000_000
 #: Rows of a block when members of a group are compared with all of it.
 _BLOCK = 512
 #: Overlap from which documents belong to one group whose members are compared with each other.
@@ -127,15 +127,21 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int, tuple]]:
         yield first, last, shingles(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
 
 
+def _text_key() -> list[Column]:
+    """Two hashes that stand for a row's text, null apart from empty."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, check, bands): hashes of each text's words, and of the bands of its signature.
+    """(doc_id, k1, k2, node, check, bands): hashes of text and words, and of the bands of its signature.
 
     ``node`` is null for texts without words.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, (made, texts, node, check) in _parts(batch.column(1)):
+            for first, last, (made, texts, node, check) in _parts(batch.column(3)):
                 own, of, weights, _ = bags(made, texts)
                 slots = signatures(own, of, weights, last - first).view(np.uint64)
                 with np.errstate(over="ignore"):
@@ -144,16 +150,16 @@ def signed(docs: DataFrame) -> DataFrame:
                 empty = node == 0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, last - first),
+                        *[batch.column(k).slice(first, last - first) for k in range(3)],
                         pa.array(node.view(np.int64), mask=empty),
                         pa.array(check.view(np.int64), mask=empty),
                         pa.FixedSizeListArray.from_arrays(pa.array(bands.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "node", "check", "bands"],
+                    names=["doc_id", "k1", "k2", "node", "check", "bands"],
                 )
 
-    plain = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text"))
-    return plain.mapInArrow(sign, "doc_id long, node long, check long, bands array<long>")
+    plain = docs.select(F.col("doc_id").cast("long"), *_text_key(), F.lower(F.col("text").cast("string")).alias("text"))
+    return plain.mapInArrow(sign, "doc_id long, k1 long, k2 long, node long, check long, bands array<long>")
 
 
 def bag_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -237,6 +243,16 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     doc_id and text are one document twice; a null doc_id never names a class unless there is no
     other. Ties are of no effect. No documents give no rows. Only doc_id and text are read.
     """
+    rows, by_node = _classified(docs, least)
+    return rows.select("doc_id", "node").join(by_node, "node", "left").select(
+        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
+    )
+
+
+def _classified(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (node, root, class_id) of every node: its class and the class's smallest doc_id."""
+    if not 0.3 <= least <= 1:
+        raise ValueError("overlaps below 0.3 are not looked for")
     rows = written(signed(docs), "signed")
     nodes = written(
         rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("bands").alias("bands")),
@@ -275,10 +291,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     named = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = written(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "class-names")
-    by_node = written(named.select("node", "root").join(names, "root").select("node", "class_id"), "class-of-node")
-    return rows.select("doc_id", "node").join(by_node, "node", "left").select(
-        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
-    )
+    by_node = written(named.select("node", "root").join(names, "root").select("node", "root", "class_id"), "class-of-node")
+    for table in (bag_rows, ranked, shared, buckets, found):
+        discard(table)
+    return rows, by_node
 
 
 def _rests_of_buckets(
@@ -373,14 +389,22 @@ def _links_in_groups(bag_rows: DataFrame, groups: DataFrame, first: DataFrame, l
 
 
 def survivors(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """The documents, all columns, of which no near-duplicate with a smaller doc_id stays.
+    """The documents, all columns, one row of each class of near-duplicates: that of its smallest doc_id.
 
-    Of repeated rows of a document that stays, one stays.
+    Rows are told apart by doc_id and text, so one doc_id may keep several texts and null ids are
+    ids like others, after all numbers. Of rows equal in both, one stays. Rows are chosen on
+    hashes; whole rows are moved once, to meet the choice.
     """
-    kept = written(near_duplicates(docs, least).filter("doc_id <=> class_id").select("doc_id").distinct(), "kept")
-    own = docs.columns
-    joined = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    from pyspark.sql import Window
-
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return joined.withColumn("__again", F.row_number().over(same)).filter("__again = 1").select(*[F.col(f"`{c}`") for c in own])
+    rows, by_node = _classified(docs, least)
+    own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "k1", "k2")
+    classed = rows.filter("node IS NOT NULL").join(by_node.select("node", "root"), "node")
+    first = classed.groupBy("root").agg(F.min(own).alias("own")).select("own.doc_id", "own.k1", "own.k2")
+    wordless = rows.filter("node IS NULL").select("doc_id", "k1", "k2").distinct()
+    kept = written(first.unionByName(wordless), "kept")
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias("__id"), *[c.alias(f"__{n}") for c, n in zip(_text_key(), ("k1", "k2"))])
+    key = ["__id", "__k1", "__k2"]
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, ("kept_id", "kept_k1", "kept_k2"))]
+    chosen = kept.select(F.col("doc_id").alias("kept_id"), F.col("k1").alias("kept_k1"), F.col("k2").alias("kept_k2"))
+    again = Window.partitionBy(*key).orderBy(F.lit(0))
+    found = keyed.join(chosen, same, "left_semi").withColumn("__again", F.row_number().over(again)).filter("__again = 1")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,0 +1,28 @@
+"""What the language stage rejects, and what it leaves alone."""
+
+import base64
+import random
+
+from orderflow.llm import langid
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_texts_in_no_language_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    chance = random.Random(3)
+    letters = lambda n: "".join(chance.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    odd = [letters(n) for n in (200, 900, 5_000)]
+    odd += [base64.b64encode(chance.randbytes(n)).decode() for n in (100, 600)]
+    odd += ["これは日本語の文章です。" * 10, "Это русский текст для проверки. " * 8, "asdf qwer zxcv " * 30]
+    odd += ["", None, "12 34 !"]
+    rows = spark.createDataFrame([(k, t, "x") for k, t in enumerate(odd)], "doc_id long, text string, score string")
+    assert langid.identified(rows, model).count() == 0
+    kept = langid.identified(docs, model)
+    clean = docs.filter("text RLIKE '\\\\p{L}' AND length(text) >= 40")
+    assert kept.columns == docs.columns
+    assert clean.join(kept.select("doc_id"), "doc_id", "left_anti").count() <= 0.001 * clean.count()
+    short = spark.createDataFrame([(1, "hello", "x"), (2, "ja", "x")], rows.schema)
+    assert langid.identified(short, model).count() == 2
+    assert langid.identified(rows, None).count() == 0 and langid.identified(rows.limit(0), model).count() == 0
