@@ -11,7 +11,7 @@ from orderflow.llm.queries import tokenizer_file
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a text that is null or has no letter goes."""
+    """Documents in a language the model knows; texts without letters and those in no language go."""
     return langid.identified(docs, langid.train(docs))
 
 
