@@ -12,6 +12,7 @@ new since their last run, and stop.
 
 ``--tables`` holds one CSV file or folder per source table; ``--pattern`` says how they are
 named, with {table} standing for items, orders, payments, products, customers, categories.
+``--multi-line`` reads cells with line breaks.
 """
 
 import argparse
@@ -21,7 +22,7 @@ from pyspark.sql import SparkSession
 from orderflow import schemas as S
 from orderflow.plans import batch
 from orderflow.plans.sample_set import write_sample
-from orderflow.session import configure
+from orderflow.session import WORK_DIR, configure
 from orderflow.sources.messages import stream_lines
 from orderflow.sources.tables import read_source_tables
 from orderflow.streaming import feed
@@ -47,6 +48,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the written layers")
     parser.add_argument("--tables", help="folder of the source tables")
     parser.add_argument("--pattern", default="{table}.csv", help="name of a table in it")
+    parser.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
     parser.add_argument("--num-events", type=int, help="publish a sample of this size")
     parser.add_argument("--num-orders", type=int, default=1000, help="orders in a sample set")
     parser.add_argument("--seed", type=int, help="seed of the sample")
@@ -56,7 +58,10 @@ def main(arguments: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName("orderflow").getOrCreate())
     layout = batch.Layout.under(options.root)
 
-    def tables():
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.conf.get(WORK_DIR, None):
+        spark.conf.set(WORK_DIR, f"{options.root}/work")
+
+    def tables(every_column: bool = False):
         if not options.tables:
             parser.error(f"{options.stage} needs --tables")
         return read_source_tables(
@@ -65,10 +70,12 @@ def main(arguments: list[str] | None = None) -> None:
                 name: f"{options.tables}/{options.pattern.format(table=name)}"
                 for name in S.SOURCE_TABLES
             },
+            every_column,
+            options.multi_line,
         )
 
     if options.stage == "sample":
-        write_sample(spark, tables(), options.root, options.num_orders, options.seed)
+        write_sample(spark, tables(every_column=True), options.root, options.num_orders, options.seed)
         return
     if options.stage == "land":
         if not options.feed:

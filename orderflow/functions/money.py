@@ -36,6 +36,33 @@ def cents_sum(amount: Column) -> Column:
     return F.coalesce(total + rest, total, rest)
 
 
+_LIMB = 30  # bits of a part of a fraction
+
+
+def exact_sum(amount: Column) -> Column:
+    """Sum of amounts as a double that does not depend on the order of rows.
+
+    Amounts below 2^31 whose last binary place is not below 2^-60 (all of 2^-8 and more) are cut
+    into whole units and two parts of 30 bits, which add up exactly as integers. Others (huge and
+    tiny ones, NaN, infinities) are added as doubles.
+    """
+    size = float(1 << _LIMB)
+    whole = F.floor(amount)
+    fraction = amount - whole.cast("double")
+    high = F.floor(fraction * size)
+    low = (fraction * size - high.cast("double")) * size
+    held = (whole.cast("double") + fraction == amount) & (F.floor(low).cast("double") == low)
+    fits = F.coalesce(F.when(F.abs(amount) < 2.0**31, held), F.lit(False))
+    units, highs, lows = (F.sum(F.when(fits, part)) for part in (whole, high, F.floor(low)))
+    highs = highs + F.shiftright(lows, _LIMB)
+    units = units + F.shiftright(highs, _LIMB)
+    mask = F.lit((1 << _LIMB) - 1).cast("long")
+    below = highs.bitwiseAND(mask) * F.lit(1 << _LIMB).cast("long") + lows.bitwiseAND(mask)
+    total = units.cast("double") + below.cast("double") / (size * size)
+    rest = F.sum(F.when(~fits, amount))
+    return F.coalesce(total + rest, total, rest)
+
+
 def cents_avg(amount: Column) -> Column:
     """Mean of amounts, rounded to two decimals."""
     return round_half_up(cents_sum(amount) / F.nullif(F.count(amount), F.lit(0)))

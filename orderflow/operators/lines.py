@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.functions.money import round_half_even
+from orderflow.functions.money import exact_sum, round_half_even
 from orderflow.sources.tables import SourceTables
 
 
@@ -19,15 +19,16 @@ def order_lines(items: DataFrame) -> DataFrame:
     """Collapse item units to lines: quantity, mean price, total freight, amount.
 
     Rows without a full key are left out; freight of a line without any is 0. The
-    aggregation combines on the map side, so a hot line shrinks before the shuffle.
+    aggregation combines on the map side, so a hot line shrinks before the shuffle. Sums are
+    exact, so retries and partitioning never change a mean that lies between two cents.
     """
     return (
         items.dropna(subset=S.LINE_KEY)
         .groupBy(*S.LINE_KEY)
         .agg(
             F.count("order_item_id").cast("int").alias("quantity"),
-            round_half_even(F.avg("price")).alias("unit_price"),
-            round_half_even(F.coalesce(F.sum("freight_value"), F.lit(0.0))).alias("freight_value"),
+            round_half_even(exact_sum(F.col("price")) / F.nullif(F.count("price"), F.lit(0))).alias("unit_price"),
+            round_half_even(F.coalesce(exact_sum(F.col("freight_value")), F.lit(0.0))).alias("freight_value"),
         )
         .withColumn("amount", round_half_even(F.col("quantity") * F.col("unit_price")))
     )
