@@ -24,9 +24,9 @@ from orderflow.plans import testdata as data  # noqa: E402
 from orderflow.session import WORK_DIR, configure, work_dir  # noqa: E402
 from orderflow.sinks import files  # noqa: E402
 from orderflow.sinks import warehouse as warehouse_sink  # noqa: E402
-from orderflow.sinks.loads import append_new_orders  # noqa: E402
+from orderflow.sinks.loads import Loads, append_new_orders  # noqa: E402
 from orderflow.sources.messages import read_lines, stream_lines  # noqa: E402
-from orderflow.sources.tables import SourceTables, read_source_tables  # noqa: E402
+from orderflow.sources.tables import SourceTables, read_csv, read_source_tables  # noqa: E402
 from orderflow.sources.warehouse import read_orders  # noqa: E402
 from orderflow.streaming import feed  # noqa: E402
 
@@ -283,6 +283,28 @@ def repeated_load(spark, sf_dir):
     return marts.agg_sales_daily(read_orders(spark, path))
 
 
+def daily_from_loads(spark, sf_dir):
+    """Lines that come in three loads, the second one twice; daily sales as the loads' sums give them."""
+    path = work_dir(spark, "loads")
+    loads = Loads(spark, f"{path}/orders", f"{path}/daily")
+    rows = work_dir(spark, "rows")
+    clean.warehouse_rows(data.text_events(spark, sf_dir), RUN_TS).write.parquet(rows)
+    rows = spark.read.schema(S.WAREHOUSE).parquet(rows)
+    third = F.pmod(F.xxhash64(*S.LINE_KEY), F.lit(3))
+    for number in (0, 1, 1, 2):
+        loads.load(rows.filter(third == number))
+    return spark.read.parquet(f"{path}/daily").select(marts.agg_sales_daily(rows).columns)
+
+
+def csv_line_breaks(spark, sf_dir):
+    """Cells with line breaks and quotes, written as CSV and read back record by record."""
+    path = work_dir(spark, "csv")
+    broken = F.concat(F.replace(F.col("product_category_name"), F.lit(" "), F.lit('\n"')), F.lit('"'))
+    products = _tables(spark, sf_dir).products.withColumn("product_category_name", broken)
+    files.write_csv(products, path)
+    return read_csv(spark, path, S.PRODUCTS, multi_line=True)
+
+
 def load_counts(spark, sf_dir):
     """Rows before and after cleaning, observed while the table is written."""
     before_rows, before = clean.counted(data.text_events(spark, sf_dir), "enriched")
@@ -493,6 +515,8 @@ QUERIES = [
     partitioned_write_readback,
     null_dates_readback,
     repeated_load,
+    daily_from_loads,
+    csv_line_breaks,
     load_counts,
     batch_run_daily,
     sample_lines,
