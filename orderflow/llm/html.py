@@ -19,7 +19,8 @@ PATHS_TRIED = 5
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|math|iframe|textarea|select|title|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"'<]++|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>"
+    # A quoted value holds anything up to its quote; one that is never closed ends before the next tag.
+    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"'<=]++|=\s*+(?:\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|\"[^\"<]*+\"|'[^'<]*+')?|[\"'])*+)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
