@@ -393,6 +393,19 @@ def landed_line_breaks(spark, sf_dir):
     )
 
 
+def pulled_messages(spark, sf_dir):
+    """The feed landed by pulls of bounded batches, one pull alone first; what validation says of it."""
+    root = work_dir(spark, "pulls")
+    data.faulty_lines(spark, sf_dir).select("value").repartition(4).write.text(f"{root}/feed")
+    for until_empty in (False, True):
+        feed.pull(spark, f"{root}/feed", f"{root}/landing", f"{root}/checkpoint", 20_000, until_empty)
+    checked = validate.check(read_lines(spark, f"{root}/landing"))
+    return (
+        checked.groupBy(F.coalesce("reject_reason", F.lit("valid")).alias("outcome"))
+        .agg(F.count("*").alias("line_count"))
+    )
+
+
 def _landed(spark, sf_dir) -> str:
     """Faulty messages replayed into a feed folder and landed by a stream."""
     root = work_dir(spark, "feed")
@@ -528,6 +541,7 @@ QUERIES = [
     dq_model_tests,
     revenue_below_a_cent,
     landed_line_breaks,
+    pulled_messages,
     stream_validate_available_now,
     stream_load_daily,
     stream_redelivery_new_date,

@@ -2,13 +2,14 @@
 
     python -m orderflow publish --tables DIR --root DIR [--num-events N] [--seed N]
     python -m orderflow validate|load|model|test --root DIR
-    python -m orderflow land --feed DIR --root DIR
+    python -m orderflow land --feed DIR --root DIR [--max-messages N]
     python -m orderflow stream-validate|stream-load --root DIR
     python -m orderflow all --tables DIR --root DIR
     python -m orderflow sample --tables DIR --root DIR [--num-orders N] [--seed N]
 
 ``test`` fails if a data test does; ``all`` ends with it. ``land`` and the streams take what is
-new since their last run, and stop.
+new since their last run, and stop; ``land --max-messages N`` takes no more than N messages. A
+feed is landed either with that limit or without it, for the two keep count in their own ways.
 
 ``--tables`` holds one CSV file or folder per source table; ``--pattern`` says how they are
 named, with {table} standing for items, orders, payments, products, customers, categories.
@@ -53,6 +54,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--num-orders", type=int, default=1000, help="orders in a sample set")
     parser.add_argument("--seed", type=int, help="seed of the sample")
     parser.add_argument("--feed", help="folder that message files arrive in")
+    parser.add_argument("--max-messages", type=int, help="land no more than so many messages")
     options = parser.parse_args(arguments)
 
     spark = configure(SparkSession.builder.appName("orderflow").getOrCreate())
@@ -80,9 +82,15 @@ def main(arguments: list[str] | None = None) -> None:
     if options.stage == "land":
         if not options.feed:
             parser.error("land needs --feed")
-        feed.land(
-            stream_lines(spark, options.feed), layout.landing, f"{options.root}/checkpoints/land"
-        ).awaitTermination()
+        checkpoint = f"{options.root}/checkpoints/land"
+        if options.max_messages:
+            landed = feed.pull(
+                spark, options.feed, layout.landing, checkpoint, options.max_messages
+            )
+            print(f"messages landed: {landed}")
+        else:
+            lines = stream_lines(spark, options.feed)
+            feed.land(lines, layout.landing, checkpoint).awaitTermination()
     if options.stage == "stream-validate":
         feed.validate_stream(
             stream_lines(spark, layout.landing),

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderflow import schemas as S
 from orderflow.functions.order_json import is_document
@@ -18,6 +18,7 @@ from orderflow.operators.clean import warehouse_rows
 from orderflow.operators.validate import VALID, check, routed_lines
 from orderflow.plans.marts import agg_sales_daily, stg_orders
 from orderflow.sinks.loads import Loads
+from orderflow.sources.pulls import stream_messages
 from orderflow.sources.warehouse import on_dates_of, read_orders
 
 
@@ -36,16 +37,39 @@ def one_line(message: Column) -> Column:
 
 def land(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append feed messages to the landing folder, one line each; no message can block it."""
+    return _landing(lines, path, checkpoint).trigger(availableNow=True).start()
+
+
+def _landing(lines: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return (
         lines.select(one_line(F.col("value")).alias("value"))
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
 
 
+def pull(
+    spark: SparkSession, feed: str, path: str, checkpoint: str, max_messages: int, until_empty: bool = False
+) -> int:
+    """Land at most ``max_messages`` messages of a feed folder; returns how many it were.
+
+    With ``until_empty`` such batches follow one another until the feed has no more. A batch that
+    was cut off is landed again whole by the next pull, and counts there; none is lost or landed twice.
+    """
+    lines = stream_messages(spark, feed, f"{checkpoint}/messages", max_messages)
+    if until_empty:
+        query = _landing(lines, path, checkpoint).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query = land(lines, path, checkpoint)
+        query.awaitTermination()
+    return sum(progress.numInputRows for progress in query.recentProgress)
+
+
 def validate_stream(
     lines: DataFrame,
     path: str,
