@@ -321,7 +321,7 @@ def batch_run_daily(spark, sf_dir):
     layout = batch.Layout.under(work_dir(spark, "run"))
     tables = data.source_tables(spark, sf_dir)
     batch.run_all(spark, tables, layout, run_ts=RUN_TS)
-    return spark.read.parquet(f"{layout.marts}/agg_sales_daily")
+    return marts.read_daily(spark, layout.marts)
 
 
 def sample_lines(spark, sf_dir):
