@@ -4,6 +4,7 @@
     python -m orderflow validate|load|model|test --root DIR
     python -m orderflow land --feed DIR --root DIR [--max-messages N]
     python -m orderflow stream-validate|stream-load --root DIR
+    python -m orderflow compact --root DIR
     python -m orderflow all --tables DIR --root DIR
     python -m orderflow sample --tables DIR --root DIR [--num-orders N] [--seed N]
 
@@ -24,6 +25,7 @@ from orderflow import schemas as S
 from orderflow.plans import batch
 from orderflow.plans.sample_set import write_sample
 from orderflow.session import WORK_DIR, configure
+from orderflow.sinks.loads import Loads
 from orderflow.sources.messages import stream_lines
 from orderflow.sources.tables import read_source_tables
 from orderflow.streaming import feed
@@ -44,6 +46,7 @@ def main(arguments: list[str] | None = None) -> None:
             "land",
             "stream-validate",
             "stream-load",
+            "compact",
         ],
     )
     parser.add_argument("--root", required=True, help="folder of the written layers")
@@ -105,6 +108,8 @@ def main(arguments: list[str] | None = None) -> None:
             f"{options.root}/checkpoints/load",
             daily=layout.stream_daily,
         ).awaitTermination()
+    if options.stage == "compact":
+        Loads(spark, layout.warehouse, layout.stream_daily).compact()
     if options.stage in ("publish", "all"):
         batch.publish(tables(), layout, options.num_events, options.seed)
     if options.stage in ("validate", "all"):
