@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,8 +109,14 @@ _FEATURES = [
 _F = {name: k for k, name in enumerate(_FEATURES)}
 
 
+def cues(text: str, begin: int) -> list[int]:
+    """Features of what stands before a segment."""
+    before = text[max(0, begin - 16) : begin]
+    return [_F[f"cue {kind}"] for kind, cue in _CUES.items() if cue.search(before)] if before else []
+
+
 def features(text: str, begin: int, end: int) -> list[int]:
-    """Whole-span features of a candidate segment."""
+    """Whole-span features of a candidate segment, but for its cues."""
     span = text[begin:end]
     digits = _digits(span)
     found = ["always"]
@@ -146,12 +153,28 @@ def features(text: str, begin: int, end: int) -> list[int]:
         found.append("glued right")
     if "@" not in span and "at" not in span:
         found.append("no @")
-    before = text[max(0, begin - 16) : begin]
-    if before:
-        found += [f"cue {kind}" for kind, cue in _CUES.items() if cue.search(before)]
     return [_F[name] for name in found]
 
 
+class Taken:
+    """Stretches of a text, and whether others meet them; each question takes logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self._begins, self._ends = [], []
+        for begin, end in sorted(spans):
+            # Stretches that overlap become one.
+            if self._ends and begin < self._ends[-1]:
+                self._ends[-1] = max(self._ends[-1], end)
+            else:
+                self._begins.append(begin)
+                self._ends.append(end)
+
+    def meets(self, begin: int, end: int) -> bool:
+        """Whether any stretch ends after ``begin`` and begins before ``end``."""
+        at = bisect_right(self._ends, begin)
+        return at < len(self._ends) and self._begins[at] < end
+
+
 def islands(text: str) -> Iterator[tuple[list[int], list[tuple[int, int, list[int]]]]]:
     """Of each run that may hold entities: the atoms' bounds, and the candidate segments.
 
@@ -160,7 +183,8 @@ def islands(text: str) -> Iterator[tuple[list[int], list[tuple[int, int, list[in
     """
     runs = list(_ISLAND.finditer(text)) if "@" in text or _HAS_DIGIT.search(text) else []
     if _AT.search(text):
-        runs += [m for m in _ISLAND_WRITTEN.finditer(text) if all(m.end() <= r.start() or r.end() <= m.start() for r in runs)]
+        taken = Taken([r.span() for r in runs])
+        runs += [m for m in _ISLAND_WRITTEN.finditer(text) if not taken.meets(*m.span())]
     for m in runs:
         atoms = [a.span() for a in _ATOM.finditer(text, m.start(), m.end())]
         bounds = [begin for begin, _ in atoms] + [m.end()]
@@ -175,13 +199,15 @@ def islands(text: str) -> Iterator[tuple[list[int], list[tuple[int, int, list[in
             first = text[bounds[i]]
             if not (first.isalnum() or first in "+("):
                 continue
+            before = None
             for j in range(i + 1, min(i + MOST_ATOMS, len(atoms)) + 1):
                 if not text[bounds[j] - 1].isalnum():
                     continue
                 if ats[j] == ats[i] and (letters[j] > letters[i] or not 4 <= digits[j] - digits[i] <= 19):
                     continue
                 if bounds[j] - bounds[i] >= 7:
-                    segments.append((i, j, features(text, bounds[i], bounds[j])))
+                    before = cues(text, bounds[i]) if before is None else before
+                    segments.append((i, j, features(text, bounds[i], bounds[j]) + before))
         yield bounds, segments
 
 
@@ -191,13 +217,17 @@ _WRITTEN_AT = {left + "at" + right for left in "[({" for right in "])}"}
 def best_spans(text: str, weights: np.ndarray) -> list[Span]:
     """The segmentation of highest score: bounded segments of a kind, single atoms outside."""
     out: list[Span] = []
+    # Few sets of features occur, so each is scored once a text.
+    known: dict[tuple[int, ...], tuple[int, float]] = {}
     for bounds, segments in islands(text):
         ending: dict[int, list[tuple[int, int, float]]] = {}
         for i, j, found in segments:
-            scores = weights[:, found].sum(axis=1)
-            kind = int(scores.argmax())
-            if scores[kind] > 0:
-                ending.setdefault(j, []).append((i, kind, float(scores[kind])))
+            if tuple(found) not in known:
+                scores = weights[:, found].sum(axis=1)
+                known[tuple(found)] = int(scores.argmax()), float(scores.max())
+            kind, score = known[tuple(found)]
+            if score > 0:
+                ending.setdefault(j, []).append((i, kind, score))
         if not ending:
             continue
         best, back = [0.0] * len(bounds), [None] * len(bounds)
@@ -325,10 +355,8 @@ def examples(count: int = 240, seed: int = 5) -> list[tuple[str, list[Span]]]:
 def all_spans(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
     """Base spans, and with them the model's that overlap none of them; by kind, then start."""
     base = base_spans(text)
-    added = []
-    for kind, begin, end in best_spans(text, weights):
-        if all(end <= other_begin or other_end <= begin for _, other_begin, other_end in base):
-            added.append((kind, begin, end))
+    taken = Taken([(begin, end) for _, begin, end in base])
+    added = [span for span in best_spans(text, weights) if not taken.meets(*span[1:])]
     return base, sorted({*base, *added}, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
