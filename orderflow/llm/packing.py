@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,8 @@ from orderflow.llm.common import chunks, hashed_words, mixed, text_bytes, writte
 _REMEMBERED = 1_500_000
 #: Bytes of text whose words are looked up together.
 _BYTES_AT_ONCE = 1_000_000
-#: Terms of a seed that are looked up in the index.
-_QUERY_TERMS = 12
+#: A token that at least one of so many documents of a shard holds has a row of weights of its own.
+_FREQUENT = 16
 #: Neighbours looked at together when a window is filled.
 _AT_ONCE = 32
 _K1, _B = 1.2, 0.75
@@ -233,7 +233,7 @@ def pack(
     Documents are dealt to shards of about ``shard_tokens`` tokens by their lead, their rarest
     token; a lead that many share is spread over as many shards as its documents need. Token
     statistics come from all documents; the driver holds two numbers per token of the vocabulary. In its shard, a document not yet used opens a window as its seed.
-    Its most telling tokens are looked up in the shard's inverted index, and its unused
+    All its tokens are looked up in the shard's inverted index, and its unused
     neighbours by BM25 fill the window in order, those first that fit whole; then the best one is
     cut and goes on in the next window. A shard's last, partly filled window is dealt to sequences
     whose lengths are powers of two, so none needs padding.
@@ -304,32 +304,42 @@ class Index:
         relative = (1 - _B + _B * lengths / lengths.mean())[docs]
         weights = idf[tokens] * counts * (_K1 + 1) / (counts + _K1 * relative)
         self._begins = np.concatenate(([0], np.cumsum(sizes)))
-        self._tokens, self._weights = tokens, weights
+        self._tokens = tokens
         order = np.argsort(tokens, kind="stable")
         self._held_by, self._held_weight = docs[order], weights[order]
         self._lists = np.searchsorted(tokens[order], np.arange(len(idf) + 1))
-        self._documents = len(ids)
-
-    def neighbours(self, doc: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents that share a telling token with this one, the nearest first."""
-        begin, end = self._begins[doc], self._begins[doc + 1]
-        tokens, weights = self._tokens[begin:end], self._weights[begin:end]
-        if len(tokens) > _QUERY_TERMS:
-            tokens = tokens[np.argpartition(-weights, _QUERY_TERMS)[:_QUERY_TERMS]]
-        scores = np.zeros(self._documents)
-        for token in tokens:
-            held = slice(self._lists[token], self._lists[token + 1])
-            scores[self._held_by[held]] += self._held_weight[held]
+        self._documents, self._lengths = len(ids), lengths
+        # Frequent tokens as rows over all documents: at most _FREQUENT numbers for each posting.
+        frequent = np.flatnonzero(np.diff(self._lists) * _FREQUENT >= len(ids))
+        self._row = np.full(len(idf), -1)
+        self._row[frequent] = np.arange(len(frequent))
+        self._rows = np.zeros((len(frequent), len(ids)), np.float32)
+        inside = self._row[tokens] >= 0
+        self._rows[self._row[tokens[inside]], docs[inside]] = weights[inside]
+
+    def scores(self, doc: int) -> np.ndarray:
+        """BM25 of every document of the shard for all tokens of this one."""
+        tokens = self._tokens[self._begins[doc] : self._begins[doc + 1]]
+        row = self._row[tokens]
+        found = self._rows[row[row >= 0]].sum(axis=0).astype(np.float64)
+        rare = tokens[row < 0]
+        begins, counts = self._lists[rare], self._lists[rare + 1] - self._lists[rare]
+        ends = np.cumsum(counts)
+        at = np.arange(counts.sum()) + np.repeat(begins - (ends - counts), counts)
+        return found + np.bincount(self._held_by[at], self._held_weight[at], self._documents)
+
+    def neighbours(self, doc: int, unused: np.ndarray, room: Callable[[], int]) -> Iterator[int]:
+        """Unused documents by BM25, the nearest first; later on only those that still fit whole."""
+        scores = self.scores(doc)
         near = np.flatnonzero((scores > 0) & unused)
         take = _AT_ONCE
         while len(near):
+            best, rest = near, near[:0]
             if len(near) > take:
-                best = near[np.argpartition(-scores[near], take)[:take]]
-            else:
-                best = near
-            best = best[np.lexsort((best, -scores[best]))]
-            yield from best.tolist()
-            near = np.setdiff1d(near, best, assume_unique=True)
+                parted = np.argpartition(-scores[near], take)
+                best, rest = near[parted[:take]], near[parted[take:]]
+            yield from best[np.lexsort((best, -scores[best]))].tolist()
+            near = rest[self._lengths[rest] <= room()]
             take *= 4
 
 
@@ -363,7 +373,7 @@ def fill(ids: list[np.ndarray], idf: np.ndarray, window: int) -> list[tuple[int,
             place(seed, 0)
         cut = None
         if used:
-            for near in index.neighbours(seed, unused):
+            for near in index.neighbours(seed, unused, lambda: window - used):
                 if len(ids[near]) <= window - used:
                     unused[near] = False
                     place(near, 0)
