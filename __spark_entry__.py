@@ -19,7 +19,7 @@ from orderflow.functions.labels import order_size as order_size_of  # noqa: E402
 from orderflow.functions.labels import utc_text  # noqa: E402
 from orderflow.operators import clean, lines, quality, sample, validate  # noqa: E402
 from orderflow.operators.messages import to_messages  # noqa: E402
-from orderflow.plans import batch, marts, sample_set  # noqa: E402
+from orderflow.plans import batch, increments, marts, sample_set  # noqa: E402
 from orderflow.plans import testdata as data  # noqa: E402
 from orderflow.session import WORK_DIR, configure, work_dir  # noqa: E402
 from orderflow.sinks import files  # noqa: E402
@@ -296,6 +296,19 @@ def daily_from_loads(spark, sf_dir):
     return spark.read.parquet(f"{path}/daily").select(marts.agg_sales_daily(rows).columns)
 
 
+def dq_after_loads(spark, sf_dir):
+    """Lines that come in loads, those of quantity 2 twice; data tests as the loads' states give them."""
+    path = work_dir(spark, "tested")
+    loads = Loads(spark, f"{path}/orders", tests=f"{path}/tests")
+    rows = clean.warehouse_rows(data.text_events(spark, sf_dir), RUN_TS)
+    rows.unionByName(rows.filter("quantity = 2")).write.parquet(f"{path}/rows")
+    rows = spark.read.schema(S.WAREHOUSE).parquet(f"{path}/rows")
+    half = F.pmod(F.xxhash64(*S.LINE_KEY), F.lit(2))
+    for number in (0, 1, 1):
+        loads.load(rows.filter(half == number))
+    return increments.results(spark, f"{path}/tests")
+
+
 def csv_line_breaks(spark, sf_dir):
     """Cells with line breaks and quotes, written as CSV and read back record by record."""
     path = work_dir(spark, "csv")
@@ -529,6 +542,7 @@ QUERIES = [
     null_dates_readback,
     repeated_load,
     daily_from_loads,
+    dq_after_loads,
     csv_line_breaks,
     load_counts,
     batch_run_daily,
