@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.operators import lines
 from orderflow.operators.messages import to_json_lines, to_messages
+from orderflow.plans import batch, marts
 from orderflow.sources.tables import SourceTables, read_csv, read_source_tables
 
 # Order 501: a lamp bought three times and a vase; 502: a product without translation, no
@@ -118,3 +119,39 @@ def test_message_mapping(tables):
 def test_json_keeps_null_fields(spark):
     text = to_json_lines(spark.range(1).select(F.lit(None).cast("string").alias("a"))).first()
     assert json.loads(text.value) == {"a": None}
+
+
+def test_repeated_headers_and_products_repeat_lines_whole(spark, tables):
+    """Equal and different copies of an order, customer and product: sums of a line stay as they are."""
+    again = tables._replace(
+        orders=tables.orders.unionByName(tables.orders).unionByName(
+            tables.orders.filter("order_id = '501'").withColumn("order_status", F.lit("shipped"))
+        ),
+        customers=tables.customers.unionByName(tables.customers),
+        products=tables.products.unionByName(tables.products).unionByName(
+            tables.products.filter("product_id = 'lamp'").withColumn("product_category_name", F.lit("vaso"))
+        ),
+    )
+    found = lines.conformed_lines(again)
+    lamps = found.filter("order_id = '501' AND product_id = 'lamp'").collect()
+    assert {(row.quantity, row.amount, row.freight_value) for row in lamps} == {(3, 21.75, 3.3)}
+    # Orders 2 + 1, customers 2, products 2 + 1.
+    assert len(lamps) == 18
+    counts = {tuple(row)[:-1]: row["count"] for row in found.groupBy("order_status", "product_category").count().collect()}
+    assert counts["invoiced", "light"] == 8 and counts["shipped", "vases"] == 2 + 4
+    assert found.filter("order_id = '503'").count() == 2
+
+
+def test_lines_are_not_shuffled_after_they_met_their_header(spark, tables):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = marts.agg_sales_daily(marts.stg_orders(batch.orders_in_memory(tables)))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    above = plan.split("SortMergeJoin [order_id", 1)[0]
+    # The daily groups alone, once orders are counted; a join of lines may not follow.
+    assert above.count("Exchange hashpartitioning(") == 1
+    assert above.count("Exchange hashpartitioning(order_date") == 1
+    assert "SortMergeJoin" not in above
