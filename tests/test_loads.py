@@ -213,3 +213,31 @@ def test_adding_a_load_again_changes_nothing(spark, tmp_path):
         daily_sales.add_to_daily(spark, batch, f"{tmp_path}/daily", "one")
     full = marts.agg_sales_daily(batch)
     assert sorted(map(str, spark.read.parquet(f"{tmp_path}/daily").select(full.columns).collect())) == sorted(map(str, full.collect()))
+
+
+def test_a_first_load_is_stored_once(spark, tmp_path, monkeypatch):
+    """With no line known yet the batch is the new lines; a later load compares and keeps no copy."""
+    loads, staged = Loads(spark, f"{tmp_path}/orders"), []
+
+    def stage(rows, path, do=loads._stage):
+        do(rows, path)
+        staged.append(path.rsplit("/", 1)[-1])
+
+    monkeypatch.setattr(loads, "_stage", stage)
+    monkeypatch.setattr(loads, "settle", lambda load_id, again, do=loads.settle: (
+        staged.append(sorted(names(spark, f"{loads.staging}/{load_id}"))), do(load_id, again))[1])
+    loads.load(lines(spark, range(30)))
+    loads.load(lines(spark, range(20, 50)))
+    assert staged == ["fresh", ["fresh"], "batch", "fresh", ["fresh"]]
+    assert stored_numbers(spark, f"{tmp_path}/orders") == numbers_as_keys(range(50))
+
+
+def test_an_index_of_lines_without_an_order_is_empty(spark, tmp_path):
+    nameless = lines(spark, range(3)).withColumn("order_id", F.lit(None).cast("string"))
+    loads = Loads(spark, f"{tmp_path}/orders")
+    loads.load(nameless)
+    assert loads.index.is_there() and loads.index.is_empty()
+    loads.load(lines(spark, range(5)))
+    assert not loads.index.is_empty()
+    loads.load(lines(spark, range(7)).unionByName(nameless))
+    assert read_orders(spark, f"{tmp_path}/orders").count() == 3 + 7 + 3
