@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import chunks, discard, hashed_words, mixed, text_bytes, written
-from orderflow.llm.graph import components
+from orderflow.llm.graph import components, joined
 
 SHINGLE = 5
 SLOTS = 128
@@ -267,11 +267,10 @@ def _classified(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     shared = written(buckets.join(sizes, ["band", "value"]), "shared-buckets")
     degrees = written(shared.groupBy("node").agg(F.sum("size").alias("degree")), "degrees")
     ranked = written(shared.join(degrees, "node").drop("size"), "ranked-buckets")
+    # The greatest degree, and of equal ones the smallest node: ``~`` turns the order round.
+    top = F.max(F.struct("degree", F.bitwise_not("node").alias("turned"))).alias("top")
     centres = written(
-        ranked.groupBy("band", "value").agg(F.max("degree").alias("degree")), "highest"
-    )
-    centres = written(
-        ranked.join(centres, ["band", "value", "degree"]).groupBy("band", "value").agg(F.min("node").alias("a")), "centres"
+        ranked.groupBy("band", "value").agg(top).select("band", "value", F.bitwise_not("top.turned").alias("a")), "centres"
     )
     pairs = written(
         ranked.join(centres, ["band", "value"]).select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "pairs"
@@ -280,14 +279,12 @@ def _classified(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     bag_rows = written(bag_table(docs, wanted), "bags")
     found = written(_overlaps(pairs, bag_rows), "overlaps")
 
-    links = found.filter(F.col("similarity") >= least).select("a", "b")
-    first = written(components(links), "first-classes")
-    groups = written(components(found.filter(F.col("similarity") >= min(_SAME_GROUP, least)).select("a", "b")), "groups")
-    links = written(links.unionByName(_links_in_groups(bag_rows, groups, first, least)), "links")
-    second = written(components(links), "second-classes")
-    rests = _rests_of_buckets(ranked, centres, found.filter(F.col("similarity") >= least), groups, second)
-    links = links.unionByName(_links_in_groups(bag_rows, rests, second, least))
-    classes = written(components(links), "classes")
+    linked = found.filter(F.col("similarity") >= least)
+    first = components(linked.select("a", "b"))
+    groups = components(found.filter(F.col("similarity") >= min(_SAME_GROUP, least)).select("a", "b"))
+    second = joined(first, _links_in_groups(bag_rows, groups, first, least))
+    rests = _rests_of_buckets(ranked, centres, linked, groups, second)
+    classes = joined(second, _links_in_groups(bag_rows, rests, second, least))
 
     named = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = written(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "class-names")
@@ -337,7 +334,10 @@ def _rests_of_buckets(
 
 
 def _links_in_groups(bag_rows: DataFrame, groups: DataFrame, first: DataFrame, least: float) -> DataFrame:
-    """Links that the centres missed: members outside a group's largest class against its members."""
+    """Links that the centres missed: members outside a group's largest class against its members.
+
+    A link is between the classes of its texts.
+    """
     members = written(
         groups.withColumnRenamed("root", "grp").join(first.withColumnRenamed("root", "cls"), "node", "left")
         .withColumn("cls", F.coalesce("cls", "node")),
@@ -373,16 +373,16 @@ def _links_in_groups(bag_rows: DataFrame, groups: DataFrame, first: DataFrame, l
 
         slots = np.array([np.frombuffer(s, np.uint8) for s in others["slots"]]).reshape(-1, SLOTS)
         bag = [np.frombuffer(b, np.uint32) for b in others["bag"]]
-        nodes, classes = others["node"].to_numpy(), others["cls"].to_numpy()
+        classes = others["cls"].to_numpy()
         out = []
-        for node, own_class, own_slots, own_bag in zip(asks["node"], asks["cls"], asks["slots"], asks["bag"], strict=True):
+        for own_class, own_slots, own_bag in zip(asks["cls"], asks["slots"], asks["bag"], strict=True):
             alike = (slots == np.frombuffer(own_slots, np.uint8)).mean(axis=1)
             own = np.frombuffer(own_bag, np.uint32)
             for k in np.flatnonzero((alike >= least - _ESTIMATE_SLACK) & (classes != own_class)):
                 a, b = root(own_class), root(int(classes[k]))
                 if a != b and overlap(own, bag[k]) >= least:
                     parent[max(a, b)] = min(a, b)
-                    out.append((node, int(nodes[k])))
+                    out.append((own_class, int(classes[k])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return tiles.groupBy("grp", "q", "t").applyInPandas(compare, "a long, b long")

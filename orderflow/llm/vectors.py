@@ -209,7 +209,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
         "vector-links",
     )
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    classes = written(components(found.select("a", "b")), "vector-classes")
+    classes = components(found.select("a", "b"))
     named = nodes.select("node", "vec_id", "copies").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     by_node = written(
