@@ -155,3 +155,14 @@ def test_lines_are_not_shuffled_after_they_met_their_header(spark, tables):
     assert above.count("Exchange hashpartitioning(") == 1
     assert above.count("Exchange hashpartitioning(order_date") == 1
     assert "SortMergeJoin" not in above
+
+
+def test_an_order_is_moved_twice(spark, tables):
+    """To its customer and to its items; it was moved a third time, with its payment."""
+    from tests.test_skew import SMALL, settings
+
+    with settings(spark, {**SMALL, "spark.sql.adaptive.enabled": "false"}):
+        plan = lines.conformed_lines(tables)._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("hashpartitioning(order_id" in line for line in moves) == 3  # payments, items, orders
+    assert sum("hashpartitioning(customer_id" in line for line in moves) == 2
