@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import discard, mixed, text_bytes, written
+from orderflow.session import small_batches
 
 #: Bytes of a string that counts as repeated.
 SPAN = 200
@@ -337,8 +338,8 @@ def _string_rows(names, gram, own, string, k1, k2, pos, row, which, times, place
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _counted(contexts: DataFrame) -> DataFrame:
-    """(k1, k2, begin, end): the spans of contexts of hot grams, whose strings are counted.
+def _counted(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k1, k2, begin, end): the spans of contexts of hot grams, whose strings are counted; and the stored strings.
 
     Sorted over all tasks by what lies before the sample, and then by what follows it, a context
     shares most with a neighbour; strings that reach further on either side are its own alone.
@@ -358,13 +359,11 @@ def _counted(contexts: DataFrame) -> DataFrame:
     often = often.filter("all > 1 AND rows > 1").select(string)
     place = ["k1", "k2", "begin", "end"]
     found = strings.filter("times = 1 AND begin IS NOT NULL").join(often, string).select(place)
-    spans = written(strings.filter("times IS NULL").select(place).unionByName(found), "counted")
-    discard(strings)
-    return spans
+    return strings.filter("times IS NULL").select(place).unionByName(found), strings
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """(k1, k2, begin, end): bytes of texts (k1, k2, text) that lie in a string of SPAN bytes found elsewhere.
+def repeated_spans(texts: DataFrame, copied: DataFrame) -> DataFrame:
+    """(k1, k2, spans): bytes of texts (k1, k2, text) that lie in a string of SPAN bytes found elsewhere.
 
     Texts are sampled so that equal strings of SPAN bytes are sampled at the same places. Grams
     sampled once are dropped. Samples whose whole context is found twice are covered by it. Of the
@@ -374,12 +373,15 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     hold) is not gathered: its contexts are sorted over all tasks, and those strings of SPAN bytes
     that sorted neighbours may share are counted by hash, which gives the same bytes. Joins on grams and texts may be split where one is hot.
 
-    Copies of a text may be left in or out; a row is one occurrence.
+    Copies of a text may be left in or out; a row is one occurrence. Texts in ``copied`` (k1, k2)
+    get no row. Every file stored costs an executor some short-lived processes where the shared
+    folder is a local path, so what is read once is not stored, and small tables are merged first.
     """
     grams = _sampled(texts).groupBy("gram").agg(
         F.count("*").alias("n"), F.min("around").alias("low"), F.max("around").alias("high")
     )
-    grams = written(grams.filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("differ")), "grams")
+    grams = grams.filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("differ"))
+    grams = written(grams.hint("rebalance", "gram"), "grams")
     hits = written(_sampled(texts).join(grams, "gram"), "hits")
     discard(grams)
     place = F.struct("k1", "k2", "pos")
@@ -396,15 +398,15 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     contexts = written(_contexts(texts, kinds), "contexts")
     hot = written(kinds.groupBy("gram").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > HOT).select("gram"), "hot-grams")
-    discard(kinds)
     by_gram = contexts.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
-    partly = written(by_gram.mapInArrow(_covered, SPANS), "partly")
-    counted = _counted(contexts.join(hot, "gram", "left_semi"))
-    discard(contexts)
-    parts = written(_runs(partly.unionByName(counted)), "parts")
-    for table in (partly, counted, hot):
+    partly = by_gram.mapInArrow(_covered, SPANS)
+    counted, strings = _counted(contexts.join(hot, "gram", "left_semi"))
+    runs = whole.unionByName(_runs(partly.unionByName(counted)))
+    runs = runs.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = written(runs.join(copied, ["k1", "k2"], "left_anti"), "spans")
+    for table in (whole, kinds, contexts, hot, strings):
         discard(table)
-    return whole.unionByName(parts)
+    return spans
 
 
 def _runs(spans: DataFrame) -> DataFrame:
@@ -419,10 +421,10 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = text_bytes(batch.column(2))
         out = []
-        for k, lists in enumerate(batch.column(3).to_pylist()):
+        for k, spans in enumerate(batch.column(3).to_pylist()):
             text = data[bounds[k] : bounds[k + 1]].tobytes()
             runs: list[list[int]] = []
-            for begin, end in sorted((s["begin"], s["end"]) for spans in lists for s in spans):
+            for begin, end in sorted((s["begin"], s["end"]) for s in spans):
                 if runs and begin <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], end)
                 else:
@@ -430,10 +432,10 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = [[a, min(b, len(text))] for a, b in runs]
             kept = b"".join(text[a:b] for a, b in zip([0] + [r[1] for r in runs], [r[0] for r in runs] + [len(text)], strict=True))
             out.append((len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept, [{"begin": a, "end": b} for a, b in runs]))
-        removed, spans, digest, kept, runs = zip(*out, strict=True) if out else [()] * 5
+        removed, n_spans, digest, kept, runs = zip(*out, strict=True) if out else [()] * 5
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+                batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
                 pa.array(digest, pa.string()), pa.array(kept, pa.binary()),
                 pa.array(runs, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
             ],
@@ -457,25 +459,23 @@ def without_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = F.octet_length("text").cast("long")
-    rows = written(
-        plain.select("doc_id", *_keys(F.col("text")), size.alias("n_bytes"), F.sha2("text", 256).alias("whole")), "rows"
-    )
+    rows = plain.select("doc_id", *_keys(F.col("text")), size.alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     texts = plain.filter(size >= SPAN).select(*_keys(F.col("text")), "text")
-    copied = written(
-        rows.filter(F.col("n_bytes") >= SPAN).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.first("n_bytes").alias("n_bytes"))
-        .filter("n > 1"),
-        "copied",
-    )
-    spans = repeated_spans(texts).join(copied, ["k1", "k2"], "left_anti")
-    lists = spans.groupBy("k1", "k2").agg(F.collect_list("spans").alias("spans"))
-    cut = texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "spans").mapInArrow(_cut_out, RESULT)
-    wanted = ["k1", "k2", "n_removed", "n_spans", "kept_sha256"] + (["kept", "removed"] if with_kept else [])
-    empty = copied.select(
-        "k1", "k2", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.sha2(F.lit(""), 256).alias("kept_sha256"), F.lit(b"").alias("kept"),
-        F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end"))).alias("removed"),
-    )
-    verdicts = written(cut.select(wanted).unionByName(empty.select(wanted)), "verdicts")
+    with small_batches(docs.sparkSession):
+        copied = written(
+            rows.filter(F.col("n_bytes") >= SPAN).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.first("n_bytes").alias("n_bytes"))
+            .filter("n > 1"),
+            "copied",
+        )
+        spans = repeated_spans(texts, copied)
+        cut = texts.join(spans, ["k1", "k2"]).select("k1", "k2", "text", "spans").mapInArrow(_cut_out, RESULT)
+        wanted = ["k1", "k2", "n_removed", "n_spans", "kept_sha256"] + (["kept", "removed"] if with_kept else [])
+        empty = copied.select(
+            "k1", "k2", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+            F.sha2(F.lit(""), 256).alias("kept_sha256"), F.lit(b"").alias("kept"),
+            F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end"))).alias("removed"),
+        )
+        verdicts = written(cut.select(wanted).unionByName(empty.select(wanted)).hint("rebalance", "k1", "k2"), "verdicts")
     return rows.join(verdicts, ["k1", "k2"], "left").select(
         "doc_id",
         "n_bytes",

@@ -123,3 +123,22 @@ def test_odd_rows(spark):
 
 def test_no_rows(spark):
     assert repeats.without_repeats(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_little_is_stored_and_batches_are_small(spark, monkeypatch):
+    """An executor's memory: few files, and a few MB at once to Python, also from a session with larger batches."""
+    files, batch, written = {}, "spark.sql.execution.arrow.maxBytesPerBatch", repeats.written
+    before = spark.conf.get(batch)
+
+    def stored(frame, name):
+        table = written(frame, name)
+        assert int(spark.conf.get(batch)) <= 4 << 20
+        files[name] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(repeats, "written", stored)
+    check(spark, corpus(6))
+    assert spark.conf.get(batch) == before
+    # Rows and the spans of single strings are read once and not stored.
+    assert set(files) == {"copied", "grams", "hits", "kinds", "whole", "contexts", "hot-grams", "reach", "strings", "spans", "verdicts"}
+    assert files["grams"] == files["verdicts"] == 1
