@@ -17,6 +17,7 @@ from orderflow.functions.order_json import is_document
 from orderflow.operators.clean import warehouse_rows
 from orderflow.operators.validate import VALID, check, routed_lines
 from orderflow.plans.marts import agg_sales_daily, stg_orders
+from orderflow.session import full_files
 from orderflow.sinks.loads import Loads
 from orderflow.sources.pulls import stream_messages
 from orderflow.sources.warehouse import on_dates_of, read_orders
@@ -37,12 +38,20 @@ def one_line(message: Column) -> Column:
 
 def land(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append feed messages to the landing folder, one line each; no message can block it."""
-    return _landing(lines, path, checkpoint).trigger(availableNow=True).start()
+    return _start(_landing(lines, path, checkpoint).trigger(availableNow=True), lines.sparkSession)
+
+
+def _start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a stream that hands over files; a query keeps the settings it was started with."""
+    with full_files(spark):
+        return writer.start()
 
 
 def _landing(lines: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Lines of a batch move once, so that they fill few files, not one for each task that reads the feed."""
     return (
         lines.select(one_line(F.col("value")).alias("value"))
+        .hint("rebalance")
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -59,7 +68,7 @@ def pull(
     """
     lines = stream_messages(spark, feed, f"{checkpoint}/messages", max_messages)
     if until_empty:
-        query = _landing(lines, path, checkpoint).start()
+        query = _start(_landing(lines, path, checkpoint), spark)
         try:
             query.processAllAvailable()
         finally:
@@ -79,17 +88,19 @@ def validate_stream(
     """Split new lines into valid orders and dead letters under ``path``.
 
     The file sink lists committed files in its own log, so a batch repeated after a
-    crash leaves no duplicates; read the folder itself and filter on ``outcome``.
+    crash leaves no duplicates; read the folder itself and filter on ``outcome``. Lines are
+    validated by all tasks and then gathered by outcome, so a batch leaves few files.
     """
-    return (
+    writer = (
         routed_lines(check(lines), run_ts)
+        .hint("rebalance", "outcome")
         .writeStream.format("text")
         .partitionBy("outcome")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    return _start(writer, lines.sparkSession)
 
 
 def read_routed(spark: SparkSession, path: str, outcome: str) -> DataFrame:

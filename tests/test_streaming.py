@@ -139,3 +139,21 @@ def test_message_lands_as_one_line(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "value string")
     landed = [r.line for r in rows.select(feed.one_line(rows["value"]).alias("line")).collect()]
     assert landed == ['{"a":  1,  "b": "x"}', "not\\njson", '{"a": "raw\\nbreak"}', '{"a": 1}']
+
+
+def test_a_batch_leaves_few_files_for_the_next_stream(spark, tmp_path):
+    """Six files in one batch land as one; validation leaves one file of each outcome."""
+    for number in range(6):
+        put(tmp_path, f"part{number}", *[order(10 * number + n) for n in range(5)], "broken")
+    setting = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(setting)
+    feed.land(stream_lines(spark, f"{tmp_path}/feed"), f"{tmp_path}/landing", f"{tmp_path}/c1").awaitTermination()
+    feed.validate_stream(
+        stream_lines(spark, f"{tmp_path}/feed"), f"{tmp_path}/raw", f"{tmp_path}/c2", RUN
+    ).awaitTermination()
+    for folder in ("landing", "raw/outcome=valid", "raw/outcome=dead_letter"):
+        assert len(list((tmp_path / folder).glob("part-*"))) == 1
+    assert spark.read.text(f"{tmp_path}/landing").count() == 36
+    assert feed.read_routed(spark, f"{tmp_path}/raw", validate.VALID).count() == 30
+    assert feed.read_routed(spark, f"{tmp_path}/raw", validate.DEAD_LETTER).count() == 6
+    assert spark.conf.get(setting) == before
