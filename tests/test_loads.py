@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
+from orderflow.operators import clean
+from orderflow.plans import batch
 from orderflow.plans import daily as daily_sales
 from orderflow.plans import marts
 from orderflow.sinks import keys
@@ -241,3 +243,68 @@ def test_an_index_of_lines_without_an_order_is_empty(spark, tmp_path):
     assert not loads.index.is_empty()
     loads.load(lines(spark, range(7)).unionByName(nameless))
     assert read_orders(spark, f"{tmp_path}/orders").count() == 3 + 7 + 3
+
+
+def enriched(spark, numbers, versions=1):
+    """Enriched texts: each number is a line, given ``versions`` times with other amounts; one of them is broken."""
+    rows = []
+    for n in numbers:
+        for version in range(versions):
+            own = {
+                "order_id": f"o{n // 3}", "customer_id": "c", "product_id": None if n % 17 == 0 else f"p{n % 3}",
+                "quantity": str(n % 5), "unit_price": "2.005", "amount": f"{n}.{version}5", "freight_value": "0.5",
+                "status": "SHIPPED", "created_at": f"2018-01-0{n % 9 + 1} 10:00:00", "value_tier": "low",
+                "processed_at": f"2020-01-01T00:00:00.00000{(n + version) % 3}",
+            }
+            rows.append(tuple(own.get(name) for name in S.ENRICHED.names))
+    rows.append(tuple("o" if name == "order_id" else None for name in S.ENRICHED.names))
+    return spark.createDataFrame(rows, S.ENRICHED_TEXT)
+
+
+def texts(rows):
+    return sorted(map(str, rows.select(S.ORDER_COLUMNS).collect()))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_repeats_of_a_batch_are_merged_after_it_is_stored(spark, tmp_path, threshold):
+    """The rows that merging them first would give, whether few lines repeat or too many to look up."""
+    rows = enriched(spark, range(30)).unionByName(enriched(spark, range(20, 40), 3))
+    loads, before = Loads(spark, f"{tmp_path}/orders"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        count = loads.load(clean.warehouse_rows(rows, STAMP, merged=False), "one", clean.stored_once, clean.warehouse_derived(STAMP))
+        assert count == 40
+        assert texts(read_orders(spark, loads.path)) == texts(clean.warehouse_rows(rows, STAMP))
+        later = enriched(spark, range(35, 50), 2)
+        assert loads.load(clean.warehouse_rows(later, STAMP, merged=False), "two", clean.stored_once) == 15
+        assert stored_numbers(spark, loads.path) == numbers_as_keys(range(50))
+        again = enriched(spark, range(45, 55))
+        assert loads.load(clean.warehouse_rows(again, STAMP, merged=False), "three", clean.stored_once) == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert stored_numbers(spark, loads.path) == numbers_as_keys(range(55))
+    assert names(spark, loads.staging) == []
+
+
+def test_a_load_of_lines_that_occur_once_moves_no_whole_rows_to_find_that_out(spark, tmp_path, monkeypatch):
+    """They are staged as they come, and serve as the new lines; cut off then, the load is settled by the next."""
+    plans = []
+
+    def stage(self, rows, path, do=Loads._stage):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        do(self, rows, path)
+
+    monkeypatch.setattr(Loads, "_stage", stage)
+    root, moment = str(tmp_path), datetime(2020, 1, 1, tzinfo=timezone.utc)
+    layout = batch.Layout.under(root)
+    document = F.to_json(F.struct(*S.ENRICHED.names))
+    enriched(spark, range(30)).select(document.alias("value"), F.lit("valid").alias("outcome")).write.partitionBy("outcome").text(layout.raw)
+    with monkeypatch.context() as cut:
+        cut.setattr(Loads, "settle", lambda self, load_id, again, derived=None: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(OSError, match="cut off"):
+            batch.load(spark, layout, moment)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert read_orders(spark, layout.warehouse).count() == 0
+    assert batch.load(spark, layout, moment) == {"enriched": 31, "warehouse": 30}
+    assert texts(read_orders(spark, layout.warehouse)) == texts(clean.warehouse_rows(enriched(spark, range(30)), moment))
+    assert names(spark, f"{layout.warehouse}-staging") == []
